@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +75,15 @@ def distinct_sets(shingled: DataFrame) -> DataFrame:
     )
 
 
-def members(shingled: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
-    """``(doc_id, user_id, rep_id, copies, ...)``: which set each document belongs to."""
-    facts = sets.select(*SET_KEYS, "rep_id", "copies", "salt_mask", *columns)
-    found = look_up_group(shingled.select("doc_id", *SET_KEYS), facts, SET_KEYS, "doc_id")
-    return found.select("doc_id", "user_id", "rep_id", "copies", *columns)
+def members(shingled: DataFrame, sets: DataFrame, keys: Sequence[str] = SET_KEYS) -> DataFrame:
+    """``(doc_id, user_id, rep_id, copies)``: which set each document belongs to.
+
+    ``keys`` identify a set in both tables.
+    """
+    found = look_up_group(
+        shingled.select("doc_id", *dict.fromkeys(["user_id", *keys])),
+        sets.select(*dict.fromkeys([*keys, "rep_id"]), "copies", "salt_mask"),
+        keys,
+        "doc_id",
+    )
+    return found.select("doc_id", "user_id", "rep_id", "copies")

@@ -19,20 +19,22 @@ class Matching:
     """Result of ``find_pairs``, kept by distinct shingle set.
 
     ``docs`` is the cheap ``(doc_id, user_id)`` list of all documents, short ones
-    included; pairs of documents are built only by ``pairs`` and ``top``.
+    included; pairs of documents are built only by ``pairs`` and ``top``. ``set_keys``
+    identify a set in both ``shingled`` and ``sets``.
     """
 
     docs: DataFrame
     shingled: DataFrame
     sets: DataFrame
     set_pairs: DataFrame
+    set_keys: tuple[str, ...] = documents.SET_KEYS
 
     def members(self) -> DataFrame:
         """The set of every document with enough words."""
-        return documents.members(self.shingled, self.sets)
+        return documents.members(self.shingled, self.sets, self.set_keys)
 
     def _copied(self) -> DataFrame:
-        return documents.members(self.shingled, self.sets.where(F.col("copies") > 1))
+        return documents.members(self.shingled, self.sets.where(F.col("copies") > 1), self.set_keys)
 
     def pairs(self) -> DataFrame:
         """Every similar pair of documents."""
@@ -49,7 +51,7 @@ class Matching:
         """``(doc_id, user_id)`` of the documents with at least one similar partner."""
         paired = expand.paired_sets(self.set_pairs, self.sets)
         marked = self.sets.join(paired, "rep_id", "left_semi")
-        return documents.members(self.shingled, marked).select("doc_id", "user_id")
+        return documents.members(self.shingled, marked, self.set_keys).select("doc_id", "user_id")
 
 
 def candidates(sets: DataFrame, params: MatchParams, method: str) -> DataFrame:

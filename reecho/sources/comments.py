@@ -6,13 +6,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reecho.schemas import BIGINT, BOOLEAN, INT, STRING, TIMESTAMP, record
+
 # The header of the comment export, in file order.
-COMMENT_SCHEMA = T.StructType.fromDDL(
-    "commentID string, status string, commentSequence bigint, userID string, userDisplayName string, "
-    "userLocation string, userTitle string, commentBody string, createDate timestamp, updateDate timestamp, "
-    "approveDate timestamp, recommendations int, replyCount int, editorsSelection boolean, parentID string, "
-    "parentUserDisplayName string, depth int, commentType string, trusted int, recommendedFlag int, "
-    "permID string, isAnonymous boolean, articleID string"
+COMMENT_SCHEMA = record(
+    commentID=STRING,
+    status=STRING,
+    commentSequence=BIGINT,
+    userID=STRING,
+    userDisplayName=STRING,
+    userLocation=STRING,
+    userTitle=STRING,
+    commentBody=STRING,
+    createDate=TIMESTAMP,
+    updateDate=TIMESTAMP,
+    approveDate=TIMESTAMP,
+    recommendations=INT,
+    replyCount=INT,
+    editorsSelection=BOOLEAN,
+    parentID=STRING,
+    parentUserDisplayName=STRING,
+    depth=INT,
+    commentType=STRING,
+    trusted=INT,
+    recommendedFlag=INT,
+    permID=STRING,
+    isAnonymous=BOOLEAN,
+    articleID=STRING,
 )
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reecho.functions.scores import latency_ms
 from reecho.operators.latency import INTERVAL_SECONDS, interval_stats
+from reecho.schemas import BIGINT, STRING, record
 from reecho.sources.tables import BatchTable
 
 
@@ -32,7 +32,7 @@ class AuthorCounters:
     """Author counters as one delta per batch, summed on reading, so replays do not count twice."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.deltas = BatchTable(spark, path, T.StructType.fromDDL("user_id string, added bigint"))
+        self.deltas = BatchTable(spark, path, record(user_id=STRING, added=BIGINT))
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         counted = messages.groupBy("user_id").agg(F.count(F.lit(1)).alias("added"))
@@ -55,7 +55,7 @@ PROGRESS = "progress"
 
 
 def with_progress(messages: DataFrame) -> DataFrame:
-    """Counts messages and distinct-free totals per batch; read them with ``progress_counts``."""
+    """Counts each batch's messages while it runs; read the totals with ``progress_counts``."""
     return messages.observe(
         PROGRESS, F.count(F.lit(1)).alias("messages"), F.count("text").alias("with_text")
     )

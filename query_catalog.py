@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reecho import MatchParams, Workspace, find_pairs, tune
 from reecho.functions import minhash as mh
 from reecho.functions import text as tx
+from reecho.functions.scores import latency_ms
 from reecho.operators import documents as docs_op
 from reecho.operators import expand, latency, lsh, runs, tables
 from reecho.plans import reports
@@ -28,7 +29,7 @@ from reecho.streaming.pairs import PairStream
 PARAMS = MatchParams()
 LONG_TEXT_WORDS = 50
 SAMPLE_ROWS = 500
-STREAM_FILES = 4
+STREAM_FILES = 3
 # Fixed value: production time of document 0, in epoch seconds.
 EPOCH = 1_700_000_000
 
@@ -148,8 +149,7 @@ def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lsh_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: bands of the distinct sets, as text."""
     _, signed = _signed(spark, sf_dir)
-    bands = F.array(*[F.array_join(part.cast("array<string>"), "-") for part in mh.band_slices(F.col("sig"), PARAMS)])
-    return signed.select("rep_id", F.posexplode(bands).alias("band", "band_values"))
+    return signed.select("rep_id", F.posexplode(mh.band_texts("sig", PARAMS)).alias("band", "band_values"))
 
 
 @registered
@@ -246,7 +246,7 @@ def top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs per author where both documents are known and of one author."""
     pairs = _match(spark, sf_dir, author="lang").pairs()
-    return tables.author_pair_counts(pairs, _labelled(spark, sf_dir, "source"))
+    return tables.author_pair_counts(pairs, _labelled(spark, sf_dir, "lang"))
 
 
 @registered
@@ -393,11 +393,9 @@ def dashboard_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T13, ST8: latency of events as if produced ``value`` milliseconds before their time."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    from reecho.functions.scores import latency_ms
-
     seen = F.col("ts").cast("timestamp").cast("double")
     stamped = events.select("event_id", latency_ms(seen, seen - F.col("value") / 1000).alias("latency_ms"))
-    return stamped.withColumn("latency_ms", F.round("latency_ms", 1))
+    return stamped.withColumn("latency_ms", F.round("latency_ms", 2))
 
 
 # --- runs -----------------------------------------------------------------------------
@@ -422,7 +420,7 @@ def author_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_scoped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: pairs within a run only."""
     scoped = runs.scope_to_runs(runs.author_runs(_turns(spark, sf_dir))).withColumnRenamed("offset", "doc_id")
-    found = find_pairs(scoped.select("doc_id", "user_id", "text"), PARAMS).pairs()
+    found = find_pairs(scoped.select("doc_id", "user_id", "text"), PARAMS, "exact").pairs()
     return found.select(F.col("user_id").alias("run"), "doc_id_1", "doc_id_2", "similarity")
 
 

@@ -91,6 +91,7 @@ STATS = f"""stats AS (SELECT t.user_id, t.total_comments, coalesce(p.n, 0) AS si
     LEFT JOIN (SELECT user_id, count(*) AS n FROM pairs GROUP BY user_id) p USING (user_id))"""
 
 BY_SOURCE = "du AS (SELECT doc_id, source AS user_id FROM documents)"
+BY_LANG = "du AS (SELECT doc_id, lang AS user_id FROM documents)"
 LABELLED = "lab AS (SELECT * FROM du WHERE doc_id IN (SELECT doc_id FROM labels))"
 
 SEEN = "seen AS (SELECT event_type AS worker, ts, value AS latency_ms FROM events)"
@@ -168,7 +169,7 @@ ORACLES = {
         select="SELECT * FROM stats WHERE total_comments > 10 ORDER BY total_comments DESC, user_id LIMIT 10",
     ),
     "user_pair_counts": query(
-        docs("lang"), lsh_pairs(), BY_SOURCE, LABELLED,
+        docs("lang"), lsh_pairs(), BY_LANG, LABELLED,
         select="""SELECT a.user_id, count(*) AS similar_pairs FROM pairs JOIN lab a ON a.doc_id = doc_id_1
                   JOIN lab b ON b.doc_id = doc_id_2 WHERE a.user_id = b.user_id GROUP BY ALL""",
     ),
@@ -224,13 +225,13 @@ ORACLES = {
     ),
     "integrity": query(
         docs("lang"), lsh_pairs(),
-        "both AS (SELECT doc_id_1, doc_id_2, similarity FROM pairs UNION ALL SELECT doc_id_2, doc_id_1, similarity FROM pairs)",
+        "mirrored AS (SELECT doc_id_1, doc_id_2, similarity FROM pairs UNION ALL SELECT doc_id_2, doc_id_1, similarity FROM pairs)",
         select="""SELECT 'doc_users_duplicate_key' AS rule, count(*) AS violations FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)
                   UNION ALL SELECT 'doc_users_null', 0
                   UNION ALL SELECT 'similarities_duplicate_key', 0
                   UNION ALL SELECT 'similarities_null', 0
-                  UNION ALL SELECT 'similarities_order', count(*) FROM both WHERE doc_id_1 >= doc_id_2
-                  UNION ALL SELECT 'similarities_range', count(*) FROM both WHERE NOT similarity BETWEEN 0.5 AND 1
+                  UNION ALL SELECT 'similarities_order', count(*) FROM mirrored WHERE doc_id_1 >= doc_id_2
+                  UNION ALL SELECT 'similarities_range', count(*) FROM mirrored WHERE NOT similarity BETWEEN 0.5 AND 1
                   UNION ALL SELECT 'user_stats_duplicate_key', 0
                   UNION ALL SELECT 'user_stats_null', 0""",
     ),
@@ -262,11 +263,11 @@ ORACLES = {
                          (SELECT count(*) FROM words WHERE len(w) >= 1) AS total_processed,
                          (SELECT round(sum(throughput), 6) FROM snap) AS total_throughput""",
     ),
-    "message_latency": "SELECT event_id, round(value, 1) AS latency_ms FROM events",
+    "message_latency": "SELECT event_id, round(value, 2) AS latency_ms FROM events",
     "author_runs": query(RUNS, select="SELECT conv_id, turn, run_id FROM runs"),
     "run_scoped_pairs": query(
-        RUNS, "docs AS (SELECT pos AS doc_id, '0/' || run_id AS user_id, text FROM runs)", lsh_pairs(),
-        select="SELECT user_id AS run, doc_id_1, doc_id_2, similarity FROM pairs",
+        RUNS, "docs AS (SELECT pos AS doc_id, '0/' || run_id AS user_id, text FROM runs)", exact_pairs(),
+        select="SELECT user_id AS run, doc_id_1, doc_id_2, similarity FROM exact",
     ),
     "csv_round_trip": f"SELECT doc_id AS id, text, source AS user_id, {EPOCH}::DOUBLE AS produced_at FROM documents",
     "json_message_round_trip":

@@ -39,7 +39,7 @@ def look_up_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], row_i
     A group's facts are repeated only for salts that occur in it: at most as often
     as it has rows.
     """
-    every_salt = F.array(*[F.lit(i) for i in range(SALTS)])
+    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
     salted_groups = (
         groups.withColumn("salt", F.explode(every_salt))
         .where(F.getbit(F.col("salt_mask"), F.col("salt")) == 1)

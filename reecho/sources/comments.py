@@ -66,14 +66,14 @@ def sample_head(frame: DataFrame, n: int, *order: str) -> DataFrame:
 def to_message(comments: DataFrame, produced_at: Column | None = None) -> DataFrame:
     """``(id, text, user_id, produced_at)``; an id that is no number is an error.
 
-    ``produced_at`` is in epoch seconds, by default the time of the query.
+    An empty field is an empty text, not a null. ``produced_at`` is in epoch seconds, by default the time of the query.
     """
     stamp = F.current_timestamp().cast("double") if produced_at is None else produced_at.cast("double")
     return comments.select(
         F.col("commentID").try_cast("bigint").alias("parsed"),
         "commentID",
-        F.col("commentBody").alias("text"),
-        F.col("userID").cast("string").alias("user_id"),
+        F.coalesce("commentBody", F.lit("")).alias("text"),
+        F.coalesce(F.col("userID").cast("string"), F.lit("")).alias("user_id"),
         stamp.alias("produced_at"),
     ).select(
         F.when(F.col("parsed").isNotNull(), F.col("parsed"))

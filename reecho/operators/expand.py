@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -51,18 +51,31 @@ def expand_pairs(set_pairs: DataFrame, members: DataFrame, block_rows: int = BLO
 def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` rows of ``expand_pairs`` by similarity, then doc ids.
 
-    Only the ``limit + 1`` least documents of a set can occur in that answer: for a
-    pair with a later document there are ``limit`` pairs of the same similarity that
-    sort before it. So large sets are cut before they are expanded.
+    ``rep_id`` must be the least document of its set. What cannot occur in the answer is
+    left out before anything is expanded:
+
+    - a pair of sets with ``limit`` others before it: the least document pair of each of
+      those sorts before all of its own. Copied sets are ranked by themselves likewise;
+    - a document with more than ``limit`` lesser ones in its set: replacing it by one of
+      those gives ``limit`` pairs of the same similarity that sort first.
     """
-    in_set = W.partitionBy("rep_id").orderBy("doc_id")
     copied = members.where(F.col("copies") > 1)
-    least = copied.withColumn("place", F.row_number().over(in_set)).where(F.col("place") <= limit + 1)
-    kept = F.least(F.col("copies"), F.lit(limit + 1).cast("bigint"))
-    cut_pairs = set_pairs.withColumn("copies_1", F.least("copies_1", F.lit(limit + 1).cast("bigint"))).withColumn(
-        "copies_2", F.least("copies_2", F.lit(limit + 1).cast("bigint"))
+    first_pairs = set_pairs.orderBy(F.desc("similarity"), "rep_id_1", "rep_id_2").limit(limit)
+    first_copied = copied.select("rep_id").distinct().orderBy("rep_id").limit(limit)
+    named = first_pairs.select(F.explode(F.array("rep_id_1", "rep_id_2")).alias("rep_id"))
+    needed = first_copied.unionByName(named).distinct()
+    in_set = W.partitionBy("rep_id").orderBy("doc_id")
+    least = (
+        copied.join(needed, "rep_id", "left_semi")
+        .withColumn("place", F.row_number().over(in_set))
+        .where(F.col("place") <= limit + 1)
     )
-    pairs = expand_pairs(cut_pairs, least.withColumn("copies", kept).drop("place"))
+
+    def cut(copies: str) -> Column:
+        return F.least(F.col(copies), F.lit(limit + 1).cast("bigint"))
+
+    cut_pairs = first_pairs.withColumn("copies_1", cut("copies_1")).withColumn("copies_2", cut("copies_2"))
+    pairs = expand_pairs(cut_pairs, least.withColumn("copies", cut("copies")).drop("place"))
     return pairs.orderBy(F.desc("similarity"), "doc_id_1", "doc_id_2").limit(limit)
 
 

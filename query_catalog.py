@@ -160,14 +160,22 @@ def bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.groupBy("user_id", "band", "n_docs").agg(F.count(F.lit(1)).alias("n_buckets"))
 
 
+def _set_facts(sets: DataFrame, n: int) -> DataFrame:
+    return sets.select(
+        F.col("rep_id").alias(f"rep_id_{n}"), F.col("copies").alias(f"copies_{n}"), F.col("user_id").alias(f"user_{n}")
+    )
+
+
 @registered
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All document pairs that share a bucket."""
     shingled, sets = prepare(_documents(spark, sf_dir), PARAMS)
     pairs = lsh.candidate_pairs(lsh.band_rows(lsh.signatures(sets, PARAMS), PARAMS))
     for n in (1, 2):
-        pairs = pairs.join(sets.select(F.col("rep_id").alias(f"rep_id_{n}"), F.col("copies").alias(f"copies_{n}")), f"rep_id_{n}")
-    unscored = pairs.withColumn("similarity", F.lit(0.0))
+        pairs = pairs.join(_set_facts(sets, n), f"rep_id_{n}")
+    unscored = pairs.select(
+        F.col("user_1").alias("user_id"), "rep_id_1", "rep_id_2", "copies_1", "copies_2", F.lit(0.0).alias("similarity")
+    )
     return expand.expand_pairs(unscored, docs_op.members(shingled, sets)).select("user_id", "doc_id_1", "doc_id_2")
 
 

@@ -25,13 +25,18 @@ _EPS = 1e-6
 
 
 def prefix_index(sets: DataFrame, threshold: float) -> DataFrame:
-    """``(user_id, x, rep_id, n_shingles, pos, group_size)``: the prefix shingles of each set.
+    """``(x, rep_id, n_shingles, pos, group_size)``: the prefix shingles of each set.
+
+    ``x`` is a 64-bit hash of author and shingle. Should two collide, a false candidate
+    may arise, which verification drops; no pair is lost.
 
     Shingles that occur in one set only cannot join; they are left out, though they
     still take up the first places of the prefix.
     """
-    shingles = sets.select("user_id", "rep_id", "n_shingles", F.explode("shingles").alias("x"))
-    shared = keep_shared(shingles, ("user_id", "x"), "rep_id")
+    shingles = sets.select("user_id", "rep_id", "n_shingles", F.explode("shingles").alias("shingle")).select(
+        F.xxhash64("user_id", "shingle").alias("x"), "rep_id", "n_shingles"
+    )
+    shared = keep_shared(shingles, ("x",), "rep_id")
     rarest_first = W.partitionBy("rep_id").orderBy("group_size", "x")
     whole_set = rarest_first.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     placed = shared.withColumn(
@@ -43,17 +48,17 @@ def prefix_index(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def exact_candidates(sets: DataFrame, threshold: float) -> DataFrame:
-    """Every ``(user_id, rep_id_1, rep_id_2)`` that could reach the threshold."""
+    """Every ``(rep_id_1, rep_id_2)`` that could reach the threshold."""
     remaining = F.least(F.col("n_shingles_1") - F.col("pos_1"), F.col("n_shingles_2") - F.col("pos_2"))
     needed = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n_shingles_1") + F.col("n_shingles_2")) - _EPS)
     witnesses = block_pairs(
         prefix_index(sets, threshold),
-        ("user_id", "x"),
+        ("x",),
         "rep_id",
         carry=("n_shingles", "pos"),
         condition=size_compatible(threshold) & (remaining + WITNESSES >= needed),
     )
-    counted = witnesses.groupBy("user_id", "rep_id_1", "rep_id_2").agg(
+    counted = witnesses.groupBy("rep_id_1", "rep_id_2").agg(
         F.count(F.lit(1)).alias("found"), F.min(F.least(needed, F.lit(WITNESSES))).alias("wanted")
     )
-    return counted.where(F.col("found") >= F.col("wanted")).select("user_id", "rep_id_1", "rep_id_2")
+    return counted.where(F.col("found") >= F.col("wanted")).select("rep_id_1", "rep_id_2")

@@ -48,7 +48,7 @@ def test_prime_argument_is_honoured(spark):
 
 def test_one_bucket_row_per_band(spark):
     bands = lsh.band_rows(lsh.signatures(sets_of(spark, [1, 2, 3]), PARAMS), PARAMS)
-    assert bands.count() == 10 and bands.select("band").distinct().count() == 10
+    assert bands.count() == 10 and bands.select("bucket").distinct().count() == 10
 
 
 def test_equal_sets_meet_and_disjoint_sets_do_not(spark):
@@ -73,7 +73,7 @@ def test_jaccard(spark):
 
 def test_verification_keeps_pairs_at_or_above_the_threshold(spark):
     frame = sets_of(spark, [1, 2, 3, 4], [1, 2, 3, 5], [4, 5, 6], [7, 8, 9])
-    candidates = spark.createDataFrame([("u", 0, 1), ("u", 2, 3)], "user_id string, rep_id_1 bigint, rep_id_2 bigint")
+    candidates = spark.createDataFrame([(0, 1), (2, 3)], "rep_id_1 bigint, rep_id_2 bigint")
     found = verify.verify_pairs(candidates, frame, 0.6).collect()
     assert [(r.rep_id_1, r.rep_id_2, r.similarity) for r in found] == [(0, 1, 0.6)]
     assert verify.verify_pairs(candidates, frame, 0.61).count() == 0

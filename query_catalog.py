@@ -271,7 +271,7 @@ def pairs_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = reports.similar_comments(
         _match(spark, sf_dir, author="lang").top(reports.PAIR_LIMIT), _doc_users(spark, sf_dir)
     )
-    return reports.with_texts(listed, _documents(spark, sf_dir))
+    return reports.with_texts(listed, _documents(spark, sf_dir), reports.PAIR_LIMIT)
 
 
 @registered

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reecho.functions.scores import wide
-from reecho.operators.skew import BLOCK_ROWS, block_of, block_pairs, blocks_of
+from reecho.operators.skew import BLOCK_ROWS, block_of, block_pairs, blocks_of, broadcast_if_bounded
 
 
 def _documents_of(pairs: DataFrame, copied: DataFrame, n: int, block_rows: int) -> DataFrame:
@@ -66,7 +66,7 @@ def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame
     needed = first_copied.unionByName(named).distinct()
     in_set = W.partitionBy("rep_id").orderBy("doc_id")
     least = (
-        copied.join(needed, "rep_id", "left_semi")
+        copied.join(broadcast_if_bounded(needed, 3 * limit), "rep_id", "left_semi")
         .withColumn("place", F.row_number().over(in_set))
         .where(F.col("place") <= limit + 1)
     )

@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 SALTS = 64
 BLOCK_ROWS = 2048
+BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_bounded(rows: DataFrame, bound: int | None) -> DataFrame:
+    """Marks rows for broadcast if a limit proves that there are few; leaves them alone otherwise."""
+    return F.broadcast(rows) if bound is not None and bound <= BROADCAST_ROWS else rows
 
 
 def salt_of(row_id: Column) -> Column:

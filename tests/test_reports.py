@@ -40,7 +40,7 @@ def test_listing_with_texts(spark, comments, comment_rows):
     lake = comments.withColumn("ingested_at", F.lit(1.0)).unionByName(
         comments.where("doc_id = 0").withColumn("text", F.lit("newer")).withColumn("ingested_at", F.lit(2.0))
     ).where("doc_id <> 1")
-    rows = reports.with_texts(listed, lake).orderBy(F.desc("similarity"), "doc_id_1", "doc_id_2").collect()
+    rows = reports.with_texts(listed, lake, 3).orderBy(F.desc("similarity"), "doc_id_1", "doc_id_2").collect()
     expected = sorted(similar_pairs(comment_rows, 0.15).items(), key=lambda p: (-p[1], p[0]))[:3]
     assert [((r.doc_id_1, r.doc_id_2), r.similarity) for r in rows] == expected
     assert (rows[0].text_1, rows[0].text_2, rows[0].same_author, rows[0].percent) == ("newer", None, True, 100.0)

@@ -48,6 +48,19 @@ def with_row_id(frame: DataFrame, name: str = "row_id") -> DataFrame:
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 
+def text_key(text: str = "text") -> Column:
+    """Name of a text; null counts as empty."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
+
+
+def free_name(frame: DataFrame, wanted: str) -> str:
+    """``wanted``, or a longer name where the frame has a column of that name."""
+    taken = {c.lower() for c in frame.columns}
+    while wanted.lower() in taken:
+        wanted = f"{wanted}_"
+    return wanted
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))

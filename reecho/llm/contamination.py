@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reecho.llm.common import ascii_lower
+from reecho.llm.common import ascii_lower, free_name, text_key
 from reecho.operators.documents import computed_once
 from reecho.workspace import Workspace
 
@@ -67,14 +67,14 @@ def covered(spans: Column) -> Column:
 def find_contamination(
     docs: DataFrame, items: DataFrame, window: int = 13, space: Workspace | None = None
 ) -> DataFrame:
-    """``(row_id, doc_id, n_words, n_hit, n_items, item_ids, contaminated)``, one row per input row.
+    """``(row_id, doc_id, text_key, n_words, n_hit, n_items, item_ids, contaminated)``, one row per input row.
 
     ``contaminated``: some word is hit and at least a twentieth of the words are. Null and wordless
     texts have no words and are clean; null or repeated item_ids count as one item each (null as none).
     Rows that repeat a doc_id are judged each by its own text; extra columns are not looked at.
     """
     space = space or Workspace.of(docs.sparkSession, "contamination")
-    source = docs.select("doc_id", "text").withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
+    source = docs.select("doc_id", "text", text_key().alias("text_key"))
     worded = computed_once(source, "words", words_of(F.col("text"))).drop("text")
     sized = space.save(
         worded.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text_key", F.size("words").cast("bigint").alias("n_words")),
@@ -99,6 +99,15 @@ def find_contamination(
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return sized.join(found, "text_key", "left").select(
-        "row_id", "doc_id", "n_words", n_hit.alias("n_hit"), F.size(item_ids).cast("bigint").alias("n_items"),
+        "row_id", "doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(item_ids).cast("bigint").alias("n_items"),
         item_ids.alias("item_ids"), ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
+    """The rows of ``docs``, all columns, whose texts are not contaminated."""
+    space = Workspace.of(docs.sparkSession, "decontamination")
+    found = find_contamination(docs, items, window, space).where("contaminated")
+    key = free_name(docs, "text_key")
+    dirty = space.save(found.select(F.col("text_key").alias(key)).distinct(), "dirty")
+    return docs.withColumn(key, text_key()).join(dirty, key, "left_anti").drop(key)

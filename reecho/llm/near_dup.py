@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reecho.llm.common import components, mixed, shingle_set, ship, with_row_id
+from reecho.llm.common import components, free_name, mixed, shingle_set, ship, text_key, with_row_id
 from reecho.workspace import Workspace
 
 
@@ -84,7 +84,7 @@ def _key(hashes: np.ndarray) -> str | None:
 
 
 def sketch_documents(docs: DataFrame, params: NearDupParams) -> DataFrame:
-    """``(row_id, doc_id, n_shingles, set_key, registers)``; key and registers are null for empty sets."""
+    """``(row_id, doc_id, text_key, n_shingles, set_key, registers)``; key and registers are null for empty sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -94,14 +94,15 @@ def sketch_documents(docs: DataFrame, params: NearDupParams) -> DataFrame:
             yield pd.DataFrame({
                 "row_id": batch["row_id"],
                 "doc_id": batch["doc_id"].astype("Int64"),
+                "text_key": batch["text_key"],
                 "n_shingles": [len(x) for x in sets],
                 "set_key": [_key(x) for x in sets],
                 "registers": [next(regs).tobytes() if len(x) else None for x in sets],
             })
 
-    rows = with_row_id(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    rows = with_row_id(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key().alias("text_key")))
     return rows.mapInPandas(
-        run, "row_id bigint, doc_id bigint, n_shingles bigint, set_key string, registers binary"
+        run, "row_id bigint, doc_id bigint, text_key string, n_shingles bigint, set_key string, registers binary"
     )
 
 
@@ -180,7 +181,7 @@ def _full_sets(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, params:
 
 
 def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), space: Workspace | None = None) -> DataFrame:
-    """``(row_id, doc_id, n_shingles, component_id, kept, representative)``, one row per input row.
+    """``(row_id, doc_id, text_key, n_shingles, component_id, kept, representative)``, one row per input row.
 
     Links join documents whose shingle sets have ``100 * intersection >= percent * union``.
     ``component_id`` is the least doc_id reachable, ``kept`` says that it is the row's own; rows
@@ -206,6 +207,7 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), sp
     return named.join(first, "group").select(
         "row_id",
         "doc_id",
+        "text_key",
         "n_shingles",
         F.col("first.doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.col("first.doc_id")).alias("kept"),
@@ -213,6 +215,25 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), sp
     )
 
 
+def keep_representatives(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
+    """The rows of ``docs``, all columns, that represent their group.
+
+    Rows that repeat both doc_id and text, null and empty text being the same, count as one document: one of them stays.
+    """
+    space = Workspace.of(docs.sparkSession, "near-dedup")
+    found = space.save(near_duplicates(docs, params, space), "found")
+    key, own_id, times = free_name(docs, "text_key"), free_name(docs, "own_id"), free_name(docs, "times")
+    chosen = found.groupBy("doc_id", "text_key").agg(
+        F.count(F.lit(1)).alias(times), F.bool_or("representative").alias("representative")
+    )
+    chosen = chosen.where("representative").select(F.col("doc_id").alias(own_id), F.col("text_key").alias(key), times)
+    keyed = docs.withColumn(free_name(docs, "key_of_row"), text_key())
+    same = (F.col("doc_id").cast("bigint").eqNullSafe(F.col(own_id))) & (F.col(free_name(docs, "key_of_row")) == F.col(key))
+    kept = keyed.join(chosen.hint("shuffle_hash"), same)
+    once = kept.where(F.col(times) == 1).unionByName(kept.where(F.col(times) > 1).dropDuplicates([own_id, key]))
+    return once.select(*docs.columns)
+
+
 def _links(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDupParams, space: Workspace) -> DataFrame:
     """Confirmed links ``(a, b)`` of set keys; any further link joins sets that these connect already."""
     banded = reps.select("set_key", F.explode(band_ids(F.col("registers"), params)).alias("band"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reecho.llm import contamination, fingerprints, near_dup, packing
+from reecho.llm import contamination, fingerprints, near_dup, packing, pii, secrets
 from reecho.llm.common import table
 
 END_ID = 2
@@ -20,6 +20,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _joined(spans: Column) -> Column:
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(parts, ",")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents")).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -35,6 +51,18 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = near_dup.NearDupParams(shingle_words=CONTRACT_SHINGLE)
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), params)
@@ -42,8 +70,10 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_packing": op2_packing,
     "op4_contamination": op4_contamination,
     "op5_fingerprints": op5_fingerprints,
+    "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
 }

@@ -100,3 +100,49 @@ def edited_texts(docs):
         quarter = len(text) // 4
         out.append((doc_id, len(text), text[: len(text) - quarter] + after[:quarter]))
     return out
+
+
+def _luhn(digits: str) -> bool:
+    total = 0
+    for at, char in enumerate(reversed(digits)):
+        value = int(char) * (2 if at % 2 else 1)
+        total += value - 9 if value > 9 else value
+    return total % 10 == 0
+
+
+def pii_base(text) -> list[tuple[str, int, int]]:
+    text, found = text or "", []
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    for kind, pattern in plain.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda: True,
+                "ip": lambda: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda: 16 <= len(digits) <= 19 and _luhn(digits),
+                "phone": lambda: 8 <= len(digits) <= 15,
+            }[kind]()
+            if good:
+                found.append((kind, m.start(), m.end()))
+    return found
+
+
+def secret_base(text) -> list[tuple[str, int, int]]:
+    text, found = text or "", []
+    names = "(password|passwd|secret|token|api_?key)"
+    either = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in names)
+    assign = either + r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    for rank, (kind, pattern, least) in enumerate((("assign", assign, 12), ("access", "AKIA[A-Z0-9]+", 18), ("hex", "[0-9a-f]+", 16))):
+        for m in re.finditer(pattern, text):
+            if len(m[2] if kind == "assign" else m[0]) >= least:
+                found.append((m.start(), rank, m.end(), kind))
+    return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+def span_text(spans) -> str:
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)

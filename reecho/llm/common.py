@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -159,3 +160,47 @@ def components(space: Workspace, edges: DataFrame, name: str) -> DataFrame:
         )
     names = roots.groupBy("root").agg(F.min("node").alias("component"))
     return roots.join(names, "root").select("node", "component")
+
+
+def known_small(frame: DataFrame, rows: int = 200_000) -> DataFrame:
+    """Marks a stored frame for broadcast if counting shows that it is small; leaves it to a shuffle otherwise."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
+def links_in_bands(
+    space: Workspace,
+    bands: DataFrame,
+    confirmed: Callable[[DataFrame, str], DataFrame],
+    apart: Callable[[DataFrame], DataFrame],
+    hub_rounds: int,
+) -> DataFrame:
+    """Links ``(a, b)`` between nodes that share a band; any further link joins nodes that these connect already.
+
+    ``bands(node, band)`` holds bands of two nodes or more. Each round takes a hub in every band that holds
+    more than one component yet, and has ``confirmed(pairs, name)`` compare it with the nodes not connected to it. What is
+    still apart after the rounds is paired in full by ``apart(rows)`` from ``(band, node, label)``.
+    """
+    labels = bands.select("node").distinct().withColumn("label", F.col("node"))
+    nodes, links = labels.select("node"), None
+    for turn in range(hub_rounds + 1):
+        labelled = bands.join(labels, "node")
+        open_bands = labelled.groupBy("band").agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.min(F.struct(F.xxhash64(F.lit(turn), "band", "node").alias("order"), "node", "label")).alias("hub"),
+        ).where("low < high").drop("low", "high")
+        if turn < hub_rounds:
+            met = labelled.join(open_bands, "band").where(F.col("label") != F.col("hub.label"))
+            pairs = met.select(F.col("node").alias("one"), F.col("hub.node").alias("two"))
+        else:
+            pairs = apart(labelled.join(open_bands.select("band"), "band"))
+        ordered = pairs.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+        found = confirmed(ordered, f"turn-{turn}")
+        links = found if links is None else links.unionByName(found)
+        if turn < hub_rounds:
+            grouped = components(space, links, f"turn-{turn}")
+            labels = space.save(
+                nodes.join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("label")),
+                f"labels-{turn}",
+            )
+    return links

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reecho.llm import contamination, fingerprints, near_dup, packing, pii, secrets
-from reecho.llm.common import table
+from reecho.llm import contamination, fingerprints, html_text, language, lines, lm, near_dup, packing, pii, secrets
+from reecho.llm.common import fold, table
 
 END_ID = 2
 CONTRACT_SHINGLE = 4
@@ -41,6 +41,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+LANGUAGE_FOLDS, LANGUAGE_HELD = 4, 2
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    return language.train(docs.where(fold(F.col("doc_id"), LANGUAGE_FOLDS) != LANGUAGE_HELD))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), LANGUAGE_FOLDS) == LANGUAGE_HELD
+    return language.identify(docs, language_model(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256)
@@ -51,6 +64,15 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
@@ -69,11 +91,19 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
+    "op3_language": op3_language,
     "op4_contamination": op4_contamination,
     "op5_fingerprints": op5_fingerprints,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_lm_scores": op7_lm_scores,
     "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_html_text": op10_html_text,
 }

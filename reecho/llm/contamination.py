@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reecho.llm.common import ascii_lower, free_name, text_key
+from reecho.llm.common import ascii_lower, free_name, known_small, text_key
 from reecho.operators.documents import computed_once
 from reecho.workspace import Workspace
 
@@ -42,7 +42,7 @@ def window_prefixes(windows: DataFrame, texts: DataFrame) -> DataFrame:
     """``(word, lead, window)``: each distinct window under its rarest word, with the word's place in it."""
     placed = windows.select("window").distinct().select("window", F.posexplode("window").alias("lead", "word"))
     asked = placed.select("word").distinct()
-    seen = texts.select(F.explode("words").alias("word")).join(asked, "word", "left_semi")
+    seen = texts.select(F.explode("words").alias("word")).join(known_small(asked), "word", "left_semi")
     rarity = seen.groupBy("word").agg(F.count(F.lit(1)).alias("times"))
     ranked = placed.join(rarity, "word", "left").select(
         "window", F.struct(F.coalesce("times", F.lit(0)).alias("times"), "word", "lead").alias("rank")
@@ -84,7 +84,7 @@ def find_contamination(
     prefixes = space.save(window_prefixes(windows, worded), "prefixes")
     places = worded.select("text_key", "words", F.posexplode("words").alias("place", "word"))
     start = F.col("place") - F.col("lead")
-    met = places.join(prefixes, "word").where(
+    met = places.join(known_small(prefixes, 50_000), "word").where(
         (start >= 0)
         & (start + F.size("window") <= F.size("words"))
         & (F.slice("words", start + 1, F.size("window")) == F.col("window"))

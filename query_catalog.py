@@ -22,14 +22,16 @@ from reecho.operators import expand, latency, lsh, runs, tables
 from reecho.plans import reports
 from reecho.plans.matching import Matching, prepare
 from reecho.sources import comments, lake, messages
+from reecho.sources.tables import SCHEMAS as TABLES
 from reecho.streaming.joins import pair_events
-from reecho.streaming.metrics import AuthorCounters, worker_windows
+from reecho.streaming.metrics import AuthorCounters, WorkerWindows, worker_windows
 from reecho.streaming.pairs import PairStream
 
 PARAMS = MatchParams()
 LONG_TEXT_WORDS = 50
 SAMPLE_ROWS = 500
 STREAM_FILES = 3
+RETENTION_SECONDS = 300.0
 # Fixed value: production time of document 0, in epoch seconds.
 EPOCH = 1_700_000_000
 
@@ -234,8 +236,18 @@ def spammers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.spammers_from_pairs(pairs, doc_users, tables.comment_counts(doc_users), min_rate=0.0)
 
 
+@registered
+def spammers_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report when the labelled documents are delivered again under another author; the first delivery counts."""
+    first = _documents(spark, sf_dir).withColumn("seq", F.lit(1))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    again = first.join(labels, "doc_id", "left_semi").withColumns({"seq": F.lit(2), "user_id": F.lit("again")})
+    matching = find_pairs(first.unionByName(again), PARAMS, "exact", order="seq")
+    return _plain_counts(reports.spammer_report(matching, min_rate=0.0))
+
+
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.user_stats(_doc_users(spark, sf_dir), _match(spark, sf_dir).author_pair_counts())
+    return _plain_counts(tables.user_stats(_doc_users(spark, sf_dir), _match(spark, sf_dir).author_pair_counts()))
 
 
 @registered
@@ -283,7 +295,7 @@ def author_similar_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def author_other_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that occur in no pair."""
-    paired = reports.documents_in_pairs(_match(spark, sf_dir).pairs())
+    paired = _match(spark, sf_dir).paired_documents().select("doc_id")
     return _doc_users(spark, sf_dir).join(paired, "doc_id", "left_anti")
 
 
@@ -322,7 +334,7 @@ def counter_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents and pairs are added to the statistics of the labelled ones."""
     stored = tables.rebuild_stats(_labelled(spark, sf_dir, "source"))
     counted = tables.add_comment_counts(stored, _doc_users(spark, sf_dir))
-    return tables.add_pair_counts(counted, _match(spark, sf_dir).author_pair_counts())
+    return _plain_counts(tables.add_pair_counts(counted, _match(spark, sf_dir).author_pair_counts()))
 
 
 @registered
@@ -331,7 +343,7 @@ def stats_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = tables.rebuild_stats(_labelled(spark, sf_dir, "source"))
     stored = sources.unionByName(tables.rebuild_stats(_doc_users(spark, sf_dir, "lang")))
     with_pairs = tables.add_pair_counts(stored, _match(spark, sf_dir, author="lang").author_pair_counts())
-    return tables.sync_totals(with_pairs, _doc_users(spark, sf_dir))
+    return _plain_counts(tables.sync_totals(with_pairs, _doc_users(spark, sf_dir)))
 
 
 @registered
@@ -351,10 +363,7 @@ def _intervals(spark: SparkSession, sf_dir: str, seconds: int = latency.INTERVAL
 
 
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = [
-        "worker", "timestamp", "throughput", "processed_count", "avg_latency_ms", "min_latency_ms", "max_latency_ms",
-        "total_latency_ms", "latency_count",
-    ]
+    columns = TABLES["worker_stats"].fieldNames()
     hourly = _intervals(spark, sf_dir, 3600).select(*columns)
     return tables.latest_snapshots(hourly, _intervals(spark, sf_dir).select(*columns))
 
@@ -477,11 +486,11 @@ def _topic(spark: SparkSession, sf_dir: str, workspace: Workspace) -> DataFrame:
     return messages.read_topic_files(spark, path)
 
 
-def _streamed_pairs(spark: SparkSession, sf_dir: str, history_batches: int | None = None) -> DataFrame:
+def _streamed_pairs(spark: SparkSession, sf_dir: str, retention: float | None = None) -> DataFrame:
     workspace = Workspace.of(spark, "stream")
-    stream = PairStream(spark, workspace.path("facts"), PARAMS, history_batches)
+    stream = PairStream(spark, workspace.path("facts"), PARAMS, retention)
     stream.start(_topic(spark, sf_dir, workspace), workspace.path("checkpoint"), available_now=True).awaitTermination()
-    return stream.matching().pairs()
+    return stream.pairs()
 
 
 @registered
@@ -492,8 +501,17 @@ def stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stream_bounded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST5: new sets are compared with those of one earlier batch only."""
-    return _streamed_pairs(spark, sf_dir, history_batches=1)
+    """ST5: only documents produced at most ``RETENTION_SECONDS`` apart are compared, across batches too."""
+    return _streamed_pairs(spark, sf_dir, RETENTION_SECONDS)
+
+
+@registered
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4: two batches, split by parity of the id, each of them processed twice."""
+    stream = PairStream(spark, Workspace.of(spark, "stream").path("facts"), PARAMS)
+    for batch_id in (0, 0, 1, 1):
+        stream.process(_messages(spark, sf_dir).where(F.pmod("id", F.lit(2)) == batch_id), batch_id)
+    return stream.pairs()
 
 
 @registered
@@ -520,7 +538,7 @@ def stream_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stream_worker_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST7: intervals closed by the watermark."""
+    """ST7: intervals as they stand after the last event, open ones too."""
     workspace = Workspace.of(spark, "stream")
     source = f"{sf_dir}/events.parquet"
     events = (
@@ -529,8 +547,6 @@ def stream_worker_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .parquet(sf_dir)
     )
     windows = worker_windows(_seen(events)).withColumn("interval_start", F.unix_timestamp("interval_start"))
-    out = workspace.path("windows")
-    windows.writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", workspace.path("checkpoint")
-    ).trigger(availableNow=True).start().awaitTermination()
-    return _rounded(spark.read.schema(windows.schema).parquet(out), "avg_latency_ms", "total_latency_ms")
+    kept = WorkerWindows(spark, workspace.path("windows"), windows)
+    kept.start(workspace.path("checkpoint"), available_now=True).awaitTermination()
+    return _rounded(kept.current(), "avg_latency_ms", "total_latency_ms")

@@ -15,7 +15,7 @@ WORD_CHARS = r"[\p{L}\p{N}_]"
 SPACE_CHARS = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 MENTION = f"@{WORD_CHARS}+"
 URL = f"(?:https?://|www\\.)[^{SPACE_CHARS}]+"
-PUNCTUATION = r"[!-/:-@\[-`{-~]"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPACES = f"[{SPACE_CHARS}]+"
 
 
@@ -32,7 +32,7 @@ def strip_urls(text: Column) -> Column:
 
 
 def strip_punctuation(text: Column) -> Column:
-    return F.regexp_replace(text, PUNCTUATION, "")
+    return F.translate(text, PUNCTUATION, "")
 
 
 def squeeze_spaces(text: Column) -> Column:
@@ -40,8 +40,14 @@ def squeeze_spaces(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Lowercase, then drop mentions, URLs and ASCII punctuation, then squeeze spaces."""
-    return squeeze_spaces(strip_punctuation(strip_urls(strip_mentions(lowercase(text)))))
+    """Lowercase, then drop mentions, URLs and ASCII punctuation, then squeeze spaces.
+
+    The patterns of mentions and URLs run only on texts that hold what every match begins with.
+    """
+    low = lowercase(text)
+    unnamed = F.when(F.contains(text, F.lit("@")), strip_mentions(low)).otherwise(low)
+    linked = F.contains(text, F.lit("://")) | F.contains(low, F.lit("www."))
+    return squeeze_spaces(strip_punctuation(F.when(linked, strip_urls(unnamed)).otherwise(unnamed)))
 
 
 def words(clean: Column) -> Column:

@@ -22,6 +22,19 @@ def first_delivery(docs: DataFrame, order: str | None = None) -> DataFrame:
     return kept.select(*[("doc_id" if c == "doc_id" else F.col(f"kept.{c}").alias(c)) for c in docs.columns])
 
 
+def deliver_once(docs: DataFrame, order: str | None = None) -> DataFrame:
+    """``docs`` without redelivered ids; texts move only for ids that occur twice.
+
+    Ids are counted without their texts. If none repeats, the rows pass as they are.
+    """
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return docs
+    once = docs.join(repeated, "doc_id", "left_anti")
+    first = first_delivery(docs.join(repeated, "doc_id", "left_semi"), order)
+    return once.select(*docs.columns).unionByName(first.select(*docs.columns))
+
+
 def computed_once(frame: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds an expensive column that later filters and columns may use freely.
 

@@ -64,12 +64,13 @@ def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame
     first_copied = copied.select("rep_id").distinct().orderBy("rep_id").limit(limit)
     named = first_pairs.select(F.explode(F.array("rep_id_1", "rep_id_2")).alias("rep_id"))
     needed = first_copied.unionByName(named).distinct()
-    in_set = W.partitionBy("rep_id").orderBy("doc_id")
-    least = (
-        copied.join(broadcast_if_bounded(needed, 3 * limit), "rep_id", "left_semi")
-        .withColumn("place", F.row_number().over(in_set))
-        .where(F.col("place") <= limit + 1)
-    )
+    wanted = copied.join(broadcast_if_bounded(needed, 3 * limit), "rep_id", "left_semi")
+    # first within a block of the set's documents, then within the set: no task meets a whole hot set
+    for keys in (("rep_id", "block"), ("rep_id",)):
+        in_part = W.partitionBy(*keys).orderBy("doc_id")
+        blocked = wanted.withColumn("block", block_of(F.col("doc_id"), F.col("copies"), max(BLOCK_ROWS, 4 * limit)))
+        wanted = blocked.withColumn("place", F.row_number().over(in_part)).where(F.col("place") <= limit + 1).drop("block")
+    least = wanted
 
     def cut(copies: str) -> Column:
         return F.least(F.col(copies), F.lit(limit + 1).cast("bigint"))

@@ -102,14 +102,14 @@ def rebuild_stats(doc_users: DataFrame) -> DataFrame:
 
 
 def add_pair_counts(stats: DataFrame, pair_counts: DataFrame) -> DataFrame:
-    """Adds pair counts and refreshes the rate of the authors touched; unknown authors are skipped."""
-    added = pair_counts.select("user_id", F.col("similar_pairs").cast("bigint").alias("added"))
-    pairs = F.col("similar_pairs") + F.col("added")
+    """Adds pair counts, as decimal(38,0), and refreshes the rate of the authors touched; unknown authors are skipped."""
+    added = pair_counts.select("user_id", F.col("similar_pairs").cast("decimal(38,0)").alias("added"))
+    pairs = (F.col("similar_pairs").cast("decimal(37,0)") + F.col("added")).cast("decimal(38,0)")
     touched = F.col("added").isNotNull()
     return stats.join(added, "user_id", "left").select(
         "user_id",
         "total_comments",
-        F.when(touched, pairs).otherwise(F.col("similar_pairs")).alias("similar_pairs"),
+        F.when(touched, pairs).otherwise(F.col("similar_pairs").cast("decimal(38,0)")).alias("similar_pairs"),
         F.when(touched, similarity_rate(pairs, F.col("total_comments")))
         .otherwise(F.col("similarity_rate"))
         .alias("similarity_rate"),

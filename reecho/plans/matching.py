@@ -76,13 +76,17 @@ def find_pairs(
     params: MatchParams = MatchParams(),
     method: str = "lsh",
     workspace: Workspace | None = None,
+    order: str | None = None,
 ) -> Matching:
-    """Similar pairs within each author of ``docs(doc_id, user_id, text)``; doc ids must be unique.
+    """Similar pairs within each author of ``docs(doc_id, user_id, text)``.
+
+    A ``doc_id`` delivered again counts once, with its least row, or the earliest by ``order`` if that column is named.
 
     ``method="lsh"`` finds them through shared MinHash buckets, ``"exact"`` through a
     prefix-filtered join that misses none.
     """
     workspace = workspace or Workspace.of(docs.sparkSession, "match")
+    docs = documents.deliver_once(docs, order)
     shingled, sets = prepare(docs, params, workspace)
     found = verify.verify_pairs(candidates(sets, params, method), sets, params.threshold)
     set_pairs = workspace.save(found, f"set_pairs_{method}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reecho.functions.scores import latency_ms
@@ -23,6 +24,33 @@ def worker_windows(seen: DataFrame, lateness: str = "1 minute", seconds: int = I
     return interval_stats(seen.withWatermark("ts", lateness), seconds)
 
 
+class WorkerWindows:
+    """Worker windows as they stand, open ones too: each batch leaves the windows it changed, the last state counts."""
+
+    def __init__(self, spark: SparkSession, path: str, windows: DataFrame):
+        self.windows = windows
+        self.changes = BatchTable(spark, path, T.StructType([*windows.schema.fields, T.StructField("batch", T.LongType())]))
+
+    def process(self, changed: DataFrame, batch_id: int) -> None:
+        self.changes.write(changed.withColumn("batch", F.lit(batch_id)), batch_id)
+
+    def start(self, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+        trigger = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
+        return (
+            self.windows.writeStream.outputMode("update")
+            .foreachBatch(self.process)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
+
+    def current(self) -> DataFrame:
+        keys = ["worker", "interval_start"]
+        others = [c for c in self.windows.columns if c not in keys]
+        last = self.changes.read().groupBy(*keys).agg(F.max(F.struct("batch", *others)).alias("last"))
+        return last.select(*[c if c in keys else F.col(f"last.{c}").alias(c) for c in self.windows.columns])
+
+
 def running_counts(messages: DataFrame) -> DataFrame:
     """Comments per author so far; for update or complete output mode."""
     return messages.groupBy("user_id").agg(F.count(F.lit(1)).alias("total_comments"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # local[...] is one machine; local-cluster[...] has executors with folders of their own
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     folder = _local_folders.get(spark.sparkContext.applicationId)
     if folder is None:

@@ -2,14 +2,30 @@
 
 import hashlib
 import itertools
-import re
 import string
 
 
+def _cut(text, marks, goes_on):
+    """``text`` without each run that begins with one of ``marks``, followed by at least one character that goes on."""
+    out, at = [], 0
+    while at < len(text):
+        mark = next((m for m in marks if text.startswith(m, at)), None)
+        end = at + len(mark or "")
+        while mark and end < len(text) and goes_on(text[end]):
+            end += 1
+        if mark and end > at + len(mark):
+            at = end
+        else:
+            out.append(text[at])
+            at += 1
+    return "".join(out)
+
+
 def words(text):
-    text = re.sub(r"@\w+", "", text.lower())
-    text = re.sub(r"https?://\S+|www\.\S+", "", text)
-    return "".join(c for c in text if c not in string.punctuation).split()
+    """Character-wise yardstick of the cleaning rules."""
+    unnamed = _cut(text.lower(), ("@",), lambda c: c.isalnum() or c == "_")
+    unlinked = _cut(unnamed, ("https://", "http://", "www."), lambda c: not c.isspace())
+    return unlinked.translate({ord(c): None for c in string.punctuation}).split()
 
 
 def shingle_set(text, k=1):

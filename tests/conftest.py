@@ -31,14 +31,14 @@ def folder():
 
 COMMENTS = {
     "u1": [
-        "Buy cheap watches online now, click here for deals!",
-        "buy CHEAP watches online now click here for deals @you",
-        "Buy cheap watches online click now for best deals",
-        "The weather today is beautiful and sunny",
+        "Win a free lamp today, visit our tent for prizes!",
+        "win A FREE lamp today visit our tent for prizes @all",
+        "Win a free lamp today visit tent for many prizes",
+        "Nobody saw the ferry leave before dawn",
     ],
     "u2": [
-        "I love eating pizza with friends on weekends",
-        "Buy cheap watches online now, click here for deals!",
+        "My aunt repairs old clocks in her kitchen",
+        "Win a free lamp today, visit our tent for prizes!",
         "!!!",
     ],
     "u3": ["one two three four five", "one two three four six", "one two three seven eight", "nine ten"],

@@ -61,6 +61,7 @@ def test_empty_messages_are_dropped(spark):
 def test_kafka_options():
     source = messages.kafka_source("h:1", max_per_trigger=7)
     assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "7"
+    assert "maxOffsetsPerTrigger" not in messages.kafka_source("h:1")
     assert messages.kafka_sink("h:1") == {"kafka.bootstrap.servers": "h:1", "topic": "documents"}
 
 

@@ -177,8 +177,9 @@ def links_in_bands(
     """Links ``(a, b)`` between nodes that share a band; any further link joins nodes that these connect already.
 
     ``bands(node, band)`` holds bands of two nodes or more. Each round takes a hub in every band that holds
-    more than one component yet, and has ``confirmed(pairs, name)`` compare it with the nodes not connected to it. What is
-    still apart after the rounds is paired in full by ``apart(rows)`` from ``(band, node, label)``.
+    more than one component yet, and has ``confirmed(pairs, name)`` compare it with the nodes not connected to it. The hub is
+    first in an order of all nodes, so bands of one group mostly agree on it. The links between what is
+    still apart after the rounds are found by ``apart(rows)`` from ``(band, node, label)``.
     """
     labels = bands.select("node").distinct().withColumn("label", F.col("node"))
     nodes, links = labels.select("node"), None
@@ -187,15 +188,14 @@ def links_in_bands(
         open_bands = labelled.groupBy("band").agg(
             F.min("label").alias("low"),
             F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "band", "node").alias("order"), "node", "label")).alias("hub"),
+            F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node", "label")).alias("hub"),
         ).where("low < high").drop("low", "high")
         if turn < hub_rounds:
             met = labelled.join(open_bands, "band").where(F.col("label") != F.col("hub.label"))
-            pairs = met.select(F.col("node").alias("one"), F.col("hub.node").alias("two"))
+            pairs = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+            found = confirmed(pairs.distinct(), f"turn-{turn}")
         else:
-            pairs = apart(labelled.join(open_bands.select("band"), "band"))
-        ordered = pairs.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
-        found = confirmed(ordered, f"turn-{turn}")
+            found = apart(labelled.join(open_bands.select("band"), "band"))
         links = found if links is None else links.unionByName(found)
         if turn < hub_rounds:
             grouped = components(space, links, f"turn-{turn}")

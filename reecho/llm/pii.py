@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from reecho.llm import boosting
 from reecho.operators.documents import computed_once
+from reecho.workspace import Workspace
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -188,7 +189,9 @@ def fit_judge(docs: DataFrame, params: PiiParams) -> tuple[boosting.Boosted, dic
     spark = docs.sparkSession
     seen = with_candidates(docs.select("text"), params).select(F.explode("spans").alias("span")).where("span.f_loose = 0")
     counted = seen.groupBy(*[F.col(n) for n in names]).agg(F.count(F.lit(1)).alias("times"))
-    top = counted.orderBy(F.desc("times"), *[F.col(n.replace("span.", "")) for n in names]).limit(params.patterns)
+    ranked = counted.orderBy(F.desc("times"), *[F.col(n.replace("span.", "")) for n in names]).limit(params.patterns)
+    # stored first: collecting a sorted limit would send every partition's candidates to the driver
+    top = Workspace.of(spark, "pii").save(ranked, "patterns")
     rows = [[*[r[f"f_{n}"] for n in FEATURES], r["f_checked"], float(np.log1p(r["times"]))] for r in top.collect()]
     phrases = spark.createDataFrame(labelled_phrases(), "text string, label int")
     told = with_candidates(phrases, params).select("label", F.explode("spans").alias("span")).where("span.f_loose = 1")

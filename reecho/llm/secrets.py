@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reecho.llm.common import ascii_lower, ship
+from reecho.workspace import Workspace
 
 # The patterns of the base kinds.
 KEYWORDS = "password|passwd|secret|token|api_?key"
@@ -123,9 +124,10 @@ def common_words(docs: DataFrame, params: SecretParams) -> dict[str, int]:
     words = docs.select(F.explode(F.split(ascii_lower(F.col("text")), r"[^\p{L}]+")).alias("word"))
     sized = words.where(F.length("word").between(3, params.max_word))
     counted = sized.groupBy("word").agg(F.count(F.lit(1)).alias("times"))
-    top = counted.orderBy(F.desc("times"), "word").limit(params.words)
+    # stored first: collecting a sorted limit would send every partition's candidates to the driver
+    top = Workspace.of(docs.sparkSession, "secrets").save(counted.orderBy(F.desc("times"), "word").limit(params.words), "top")
     ranks = {word: i + 1 for i, word in enumerate(COMMON)}
-    for row in top.collect():
+    for row in sorted(top.collect(), key=lambda row: (-row["times"], row["word"])):
         ranks.setdefault(row["word"], len(ranks) + 1)
     return ranks
 

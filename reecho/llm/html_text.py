@@ -399,7 +399,8 @@ def fit_judge(pages: DataFrame, params: HtmlParams) -> boosting.Boosted:
                 nodes = in_order(parse(source))
                 rows, labels = features(nodes), clear_labels(nodes)
                 known = labels >= 0
-                yield pd.DataFrame({"bins": list(rows[known]), "label": labels[known]})
+                if known.any():
+                    yield pd.DataFrame({"bins": list(rows[known]), "label": labels[known]})
 
     chosen = pages.where("html is not null").where(F.rand(params.seed) < params.sample / total).select("html")
     seen = chosen.mapInPandas(run, "bins array<bigint>, label int").toPandas()

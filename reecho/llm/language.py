@@ -115,6 +115,8 @@ def _sample(training: DataFrame, params: LanguageParams) -> pd.DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             found = [grams(text, params) for text in batch["text"]]
             yield pd.DataFrame({"lang": batch["lang"], "at": [f[0] for f in found], "counts": [f[1] for f in found]})
 

@@ -143,6 +143,8 @@ def find_secrets(docs: DataFrame, params: SecretParams = SecretParams()) -> Data
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             found = [find_spans(t, ranks.value, params) if isinstance(t, str) else [] for t in batch["text"]]
             spans = [[{"start": s, "end": e, "kind": k} for s, e, k in spans] for spans in found]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "spans": spans})

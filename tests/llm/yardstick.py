@@ -146,3 +146,58 @@ def secret_base(text) -> list[tuple[str, int, int]]:
 
 def span_text(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+def unigrams(docs):
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score)``; the end of a text is a token."""
+    import collections
+    import math
+
+    split = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) + [None] for _, t in docs]
+    counts = collections.Counter()
+    for (doc_id, _), words in zip(docs, split, strict=True):
+        if crc_fold(doc_id, 7) != 2:
+            counts.update(words)
+    total, kinds = sum(counts.values()), len(counts)
+    return [
+        (i, crc_fold(i, 7) == 2, len(w), sum(counts[x] > 0 for x in w), total, sum(math.log10((counts[x] + 1) / (total + kinds + 1)) for x in w))
+        for (i, _), w in zip(docs, split, strict=True)
+    ]
+
+
+def line_shingles(line: str) -> set:
+    pieces = re.findall(r"\S{1,8}\s*", line.strip(" ") + " ")
+    return {tuple(pieces[i : i + 3]) for i in range(max(1, len(pieces) - 2))}
+
+
+def line_drops(docs, least: int = 20):
+    """``(doc_id, text)`` with repeated lines taken out."""
+    order = lambda i, t, n: (i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest(), n)
+    firsts: dict = {}
+    for i, t in docs:
+        for n, line in enumerate((t or "").split("\n") if t is not None else []):
+            if len(line.strip(" ")) >= least:
+                firsts[line] = min(firsts.get(line, (True, 1 << 62, "~", 0)), order(i, t, n))
+    names = list(firsts)
+    sets, root = [line_shingles(x) for x in names], list(range(len(names)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in range(len(names)):
+        for z in range(x):
+            if 100 * len(sets[x] & sets[z]) >= 80 * len(sets[x] | sets[z]):
+                root[find(x)] = find(z)
+    best: dict = {}
+    for x, name in enumerate(names):
+        best[find(x)] = min(best.get(find(x), firsts[name]), firsts[name])
+    keep = {name: best[find(x)] for x, name in enumerate(names)}
+    out = []
+    for i, t in docs:
+        left = None if t is None else "\n".join(
+            line for n, line in enumerate(t.split("\n")) if line not in keep or keep[line] == order(i, t, n)
+        )
+        out.append((i, left))
+    return out

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reecho.llm.common import free_name
 from reecho.operators.documents import computed_once
 
-WORD = r"[^\s\x0b]+"
 CHUNK_ROWS = 256
 MAX_CHUNKS = 1 << 14
 
@@ -28,23 +28,28 @@ class SketchParams:
     scale: int = 4
 
 
-def sketch(text: Column, params: SketchParams) -> Column:
-    """Sorted array of the kept 64-bit hashes of a text's word shingles.
+def with_sketch(docs: DataFrame, text: str, name: str, params: SketchParams) -> DataFrame:
+    """Adds the sketch of a text column: the sorted array of its kept 64-bit word-shingle hashes.
 
     White space is that of ASCII. The frame of empty words gives an n-word text n + k - 1 shingles, so that short
     texts are told apart too. Null and wordless texts have an empty sketch.
     """
     k = params.shingle_words
     frame = F.array_repeat(F.lit(""), k - 1)
-    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
     framed = F.transform(F.concat(frame, words, frame), lambda w: F.xxhash64(w))
+    parts, runs = free_name(docs, "hashed_words"), free_name(docs, "runs")
+    # every column is made once: a lambda that held them would make them anew for each element
+    hashed = computed_once(docs, parts, framed)
+    width = F.size(parts) - (k - 1)
+    shifted = [F.slice(parts, i + 1, F.greatest(width, F.lit(0))).alias(f"w{i}") for i in range(k)]
     limit = F.lit(-(2**63) + 2**64 // params.scale)
-    hashes = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)) + (k - 1)),
-        lambda at: F.xxhash64(F.slice(framed, at, F.lit(k))),
-    )
-    kept = F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h < limit)))
-    return F.when(F.size(words) > 0, kept).otherwise(F.array().cast("array<bigint>"))
+    shingle = lambda run: F.xxhash64(*[run[f"w{i}"] for i in range(k)])
+    zipped = computed_once(hashed, runs, F.transform(F.arrays_zip(*shifted), shingle))
+    kept = F.sort_array(F.array_distinct(F.filter(runs, lambda h: h < limit)))
+    # a frame alone, without a word, is no shingle
+    full = F.when(F.size(parts) > 2 * (k - 1), kept).otherwise(F.array().cast("array<bigint>"))
+    return computed_once(zipped, name, full).drop(parts, runs)
 
 
 def merged(left: Column, right: Column) -> Column:
@@ -111,7 +116,7 @@ def with_next(docs: DataFrame, columns: dict[str, Column], params: SketchParams)
     )
     rows = ranged.select("range", "doc_id", "text", F.lit(False).alias("ghost")).unionByName(ghosts.select("range", "doc_id", "text", "ghost"))
     dealt = rows.repartition(F.col("range"))
-    sketched = computed_once(dealt, "own", sketch(F.col("text"), params))
+    sketched = with_sketch(dealt, "text", "own", params)
     in_order = W.partitionBy("range").orderBy("ghost", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     ahead = sketched.select("*", *[F.lead(c).over(in_order).alias(n) for n, c in columns.items()])
     return ahead.where(~F.col("ghost")).drop("ghost", "range")
@@ -138,7 +143,7 @@ def fingerprint_edits(docs: DataFrame, params: SketchParams = SketchParams()) ->
             F.substring(F.col("next_text"), F.lit(1), quarter),
         ),
     )
-    both = computed_once(edited.drop("next_text", "text"), "other", sketch(F.col("edited"), params))
+    both = with_sketch(edited.drop("next_text", "text"), "edited", "other", params)
     return both.select(
         "doc_id",
         "n_chars",

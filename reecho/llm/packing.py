@@ -24,6 +24,7 @@ PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, bucket int, row_part bigint, ids binary"
 )
 CACHED_WORDS = 1_000_000
+TEXTS_AT_ONCE = 256
 CHUNK_ROWS = 4096
 
 
@@ -36,7 +37,8 @@ def piece_lengths(n: int, max_tokens: int) -> list[int]:
 class WordEncoder:
     """Token ids of a text, word by word, with a bounded memory of words already seen.
 
-    For tokenizers that never join tokens across white space. Only the memory is dropped when it is full.
+    For tokenizers that never join tokens across white space and keep a run of letters as one unit. Once the memory is
+    full, further words are coded anew each time; results do not change.
     """
 
     def __init__(self, path: str, remembered: int = CACHED_WORDS):
@@ -46,34 +48,54 @@ class WordEncoder:
         self.remembered = remembered
         self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Remember words; one that ends with stops is split there if a letter stands before them."""
+    def _code(self, words: list[bytes]) -> None:
+        """Code words and remember them. Words of letters alone are coded many at a time."""
+        plain, rest = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            (plain if text.isalpha() else rest).append((word, text))
+        for at in range(0, len(plain), 256):
+            part = plain[at : at + 256]
+            coded = self.tokenizer.encode(" ".join(text for _, text in part), add_special_tokens=False)
+            ids, units = np.array(coded.ids, "<u4"), np.array([-1 if u is None else u for u in coded.word_ids])
+            starts = np.flatnonzero(np.diff(units, prepend=-1))
+            if len(starts) != len(part):
+                rest += part
+                continue
+            for (word, _), piece in zip(part, np.split(ids, starts[1:]), strict=True):
+                self.known[word] = piece.tobytes()
+        coded = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
+        for (word, _), code in zip(rest, coded, strict=True):
+            self.known[word] = np.array(code.ids, "<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Learn words and return the new entries; one that ends with stops is split there if a letter stands before them."""
         stems: dict[bytes, None] = {}
         cut = []
         for word in words:
             stem = word.rstrip(b".,")
-            if len(stem) < len(word) and stem[-1:].isalpha():
+            if len(stem) < len(word) and stem.decode("utf-8", "replace")[-1:].isalpha():
                 cut.append((word, stem, word[len(stem) :]))
                 stems[stem] = stems[word[len(stem) :]] = None
             else:
                 stems[word] = None
         new = [w for w in stems if w not in self.known]
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for word, code in zip(new, coded, strict=True):
-            self.known[word] = np.array(code.ids, "<u4").tobytes()
+        self._code(new)
         for word, stem, stops in cut:
             self.known[word] = self.known[stem] + self.known[stops]
+        return [*new, *words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        missing = set().union(*split) - self.known.keys()
-        if missing:
-            self._learn(list(missing))
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        known, full = self.known, len(self.known) >= self.remembered
+        new = self._learn([word for word in set().union(*split) if word not in known])
+        look = known.__getitem__
+        coded = [b"".join(map(look, words)) for words in split]
+        if full:
+            for word in new:
+                known.pop(word, None)
+        return coded
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -90,8 +112,8 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_token
         end = np.array([end_id], "<u4").tobytes()
         encoder = _encoder(tokenizer_path)
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.iloc[at : at + 64]
+            for at in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.iloc[at : at + TEXTS_AT_ONCE]
                 texts = [t if isinstance(t, str) else "" for t in part["text"]]
                 rows = []
                 for doc_id, key, ids in zip(part["doc_id"].astype(object), part["row_part"], encoder.encode(texts), strict=True):

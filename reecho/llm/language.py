@@ -27,7 +27,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 class LanguageParams:
     """``sample``: about so many documents a language are used to fit weights. ``dims``: hashed n-gram features."""
 
-    sample: int = 1500
+    sample: int = 800
     dims: int = 1 << 15
     orders: tuple[int, ...] = (1, 2, 3)
     alpha: float = 0.5
@@ -118,10 +118,10 @@ def _sample(training: DataFrame, params: LanguageParams) -> pd.DataFrame:
             if not len(batch):
                 continue
             found = [grams(text, params) for text in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "at": [f[0] for f in found], "counts": [f[1] for f in found]})
+            yield pd.DataFrame({"lang": batch["lang"], "at": [f[0].astype(np.int32) for f in found], "counts": [f[1].astype(np.int32) for f in found]})
 
     chosen = training.where(F.rand(params.seed) < share).select("lang", "text")
-    return chosen.mapInPandas(run, "lang string, at array<bigint>, counts array<bigint>").toPandas()
+    return chosen.mapInPandas(run, "lang string, at array<int>, counts array<int>").toPandas()
 
 
 def train(training: DataFrame, params: LanguageParams = LanguageParams()) -> LanguageModel:

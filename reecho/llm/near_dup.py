@@ -22,28 +22,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reecho.llm.common import components, free_name, mixed, shingle_set, ship, text_key, with_row_id
+from reecho.llm.common import components, free_name, known_small, links_in_bands, mixed, shingle_set, ship, text_key, with_row_id
 from reecho.workspace import Workspace
 
 
 @dataclass(frozen=True)
 class NearDupParams:
-    """``bands * rows`` registers; at 80 % similarity 32 bands of 4 miss a link with probability 5e-8."""
+    """At 80 % similarity 32 bands of 4 registers miss a link with probability 5e-8. Estimates use all registers."""
 
     shingle_words: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 4
+    registers: int = 512
     base: float = 1.001
     rate: float = 20.0
     limit: int = 65534
     hub_rounds: int = 3
     seed: int = 7
 
-    @property
-    def registers(self) -> int:
-        return self.bands * self.rows
-
 
 _CHUNK = 1 << 15
 
@@ -83,14 +80,23 @@ def _key(hashes: np.ndarray) -> str | None:
     return f"{int(halves[0]):016x}{int(halves[1]):016x}"
 
 
+def low_bits(registers: np.ndarray) -> np.ndarray:
+    """The low four bits of each sketch's registers, sixteen registers to a 64-bit number."""
+    lanes = (registers & 15).astype(np.uint64).reshape(len(registers), -1, 16)
+    return np.bitwise_or.reduce(lanes << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=2).view(np.int64)
+
+
 def sketch_documents(docs: DataFrame, params: NearDupParams) -> DataFrame:
-    """``(row_id, doc_id, text_key, n_shingles, set_key, registers)``; key and registers are null for empty sets."""
+    """``(row_id, doc_id, text_key, n_shingles, set_key, registers, bits)``; the last three are null for empty sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             sets = [_set(text, params) for text in batch["text"]]
             full = [x for x in sets if len(x)]
-            regs = iter(registers_of(full, params) if full else [])
+            sketched = registers_of(full, params) if full else np.zeros((0, params.registers), np.uint16)
+            regs, bits = iter(sketched), iter(low_bits(sketched))
             yield pd.DataFrame({
                 "row_id": batch["row_id"],
                 "doc_id": batch["doc_id"].astype("Int64"),
@@ -98,11 +104,12 @@ def sketch_documents(docs: DataFrame, params: NearDupParams) -> DataFrame:
                 "n_shingles": [len(x) for x in sets],
                 "set_key": [_key(x) for x in sets],
                 "registers": [next(regs).tobytes() if len(x) else None for x in sets],
+                "bits": [next(bits) if len(x) else None for x in sets],
             })
 
     rows = with_row_id(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key().alias("text_key")))
     return rows.mapInPandas(
-        run, "row_id bigint, doc_id bigint, text_key string, n_shingles bigint, set_key string, registers binary"
+        run, "row_id bigint, doc_id bigint, text_key string, n_shingles bigint, set_key string, registers binary, bits array<bigint>"
     )
 
 
@@ -127,7 +134,7 @@ def could_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, p
     chance = lambda x: -np.log1p(-np.clip(x, 1e-12, 1) * (base - 1) / base) / np.log(base)
     up, down = chance(u - v * j), chance(v - u * j)
     logs = more * np.log(up) + less * np.log(down) + same * np.log(np.clip(1 - up - down, 1e-12, 1))
-    wanted = np.where(np.linspace(0, 1, 101)[None, :] >= params.percent / 100 - 0.005, logs, -np.inf)
+    wanted = np.where(j >= params.percent / 100 - 0.005, logs, -np.inf)
     return wanted.max(axis=1) >= logs.max(axis=1) - 20
 
 
@@ -163,17 +170,19 @@ def _confirmed(pairs: DataFrame, full: DataFrame, params: NearDupParams) -> Data
     return met.where(shared * 100 >= union * params.percent).select("a", "b")
 
 
-def _full_sets(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, params: NearDupParams) -> DataFrame:
+def _full_sets(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, params: NearDupParams, space: Workspace) -> DataFrame:
     """``(set_key, hashes)`` of the wanted keys, from one document of each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             sets = [_set(text, params) for text in batch["text"]]
             yield pd.DataFrame({"set_key": [_key(x) for x in sets], "hashes": [x.view(np.int64) for x in sets]})
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     held = wanted.join(sketches, "set_key").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    ids = held.select(F.col("doc_id").alias("held")).distinct().hint("shuffle_hash")
+    ids = known_small(space.save(held.select(F.col("doc_id").alias("held")).distinct(), "held")).hint("shuffle_hash")
     found = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("held")), "left_semi").select("text")
     sets = found.mapInPandas(run, "set_key string, hashes array<bigint>").where("set_key is not null")
     # a doc_id that rows repeat, or a null one, may bring in more sets, or one of them twice
@@ -192,12 +201,13 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), sp
     ship(docs.sparkSession)
     space = space or Workspace.of(docs.sparkSession, "near-dup")
     sketches = space.save(sketch_documents(docs, params), "sketches")
-    sets = sketches.where("set_key is not null").select("set_key", "n_shingles", "registers")
-    reps = space.save(sets.groupBy("set_key", "n_shingles").agg(F.first("registers").alias("registers")), "reps")
+    sets = sketches.where("set_key is not null").select("set_key", "n_shingles", "registers", "bits")
+    first = [F.first(c).alias(c) for c in ("registers", "bits")]
+    reps = space.save(sets.groupBy("set_key", "n_shingles").agg(*first), "reps")
     edges = _links(docs, sketches, reps, params, space)
     found = space.save(components(space, edges, "links"), "components")
     named = (
-        sketches.drop("registers")
+        sketches.drop("registers", "bits")
         .join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
         .withColumn("group", F.coalesce("component", "set_key", F.concat(F.lit("row "), F.col("row_id").cast("string"))))
     )
@@ -238,50 +248,42 @@ def _links(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDu
     """Confirmed links ``(a, b)`` of set keys; any further link joins sets that these connect already."""
     banded = reps.select("set_key", F.explode(band_ids(F.col("registers"), params)).alias("band"))
     crowded = banded.groupBy("band").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high")
-    bands = space.save(banded.join(crowded.select("band"), "band"), "bands")
-    wanted = bands.select("set_key").distinct()
-    full = space.save(_full_sets(docs, sketches, wanted, params), "full")
-    labels = wanted.select("set_key", F.col("set_key").alias("label"))
-    links = None
-    for turn in range(params.hub_rounds + 1):
-        labelled = bands.join(labels, "set_key")
-        apart = labelled.groupBy("band").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "band", "set_key").alias("order"), "set_key", "label")).alias("hub"),
-        ).where("low < high").drop("low", "high")
-        if turn < params.hub_rounds:
-            met = labelled.join(apart, "band").where(F.col("label") != F.col("hub.label"))
-            pairs = met.select(F.col("set_key").alias("one"), F.col("hub.set_key").alias("two"))
-        else:
-            pairs = _apart_pairs(labelled.join(apart.select("band"), "band"), reps, params)
-        ordered = pairs.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
-        close = space.save(_estimated(ordered, reps, params), f"close-{turn}")
-        found = space.save(_confirmed(close, full, params), f"found-{turn}")
-        links = found if links is None else links.unionByName(found)
-        if turn < params.hub_rounds:
-            grouped = components(space, links, f"hubs-{turn}").select(F.col("node").alias("set_key"), "component")
-            labels = space.save(
-                wanted.join(grouped, "set_key", "left").select("set_key", F.coalesce("component", "set_key").alias("label")),
-                f"labels-{turn}",
-            )
-    return links
+    bands = space.save(banded.join(crowded.select("band"), "band").withColumnRenamed("set_key", "node"), "bands")
+    wanted = space.save(bands.select(F.col("node").alias("set_key")).distinct(), "wanted")
+    full = space.save(_full_sets(docs, sketches, wanted, params, space), "full")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        close = space.save(_estimated(pairs, reps, params), f"{name}-close")
+        return space.save(_confirmed(close, full, params), f"{name}-found")
+
+    def apart(rows: DataFrame) -> DataFrame:
+        return space.save(_confirmed(_apart_pairs(rows, reps, params), full, params), "apart")
+
+    return links_in_bands(space, bands, confirmed, apart, params.hub_rounds)
 
 
 def _apart_pairs(rows: DataFrame, reps: DataFrame, params: NearDupParams) -> DataFrame:
-    """Pairs of one band that no link connects yet, all of them whose sketches are alike.
+    """Pairs of one band that no link connects yet, all of them whose sketches are alike, each in its first common band.
 
-    At the threshold at least that share of registers agrees on average; six standard
-    deviations less is asked for, inside the join.
+    The low four bits of two registers agree if the registers do, else in one case of sixteen. Four standard deviations
+    less than what the threshold leads to are asked for, inside the join.
     """
-    share = params.percent / 100
-    least = int(params.registers * share - 6 * (params.registers * share * (1 - share)) ** 0.5)
-    parts = F.array(*[F.substring("registers", 1 + 2 * i, 2) for i in range(params.registers)])
-    side = rows.join(reps, "set_key").select("band", "set_key", "label", "n_shingles", parts.alias("parts"))
+    agree = params.percent / 100 * 15 / 16 + 1 / 16
+    most = int(params.registers * (1 - agree) + 4 * (params.registers * agree * (1 - agree)) ** 0.5)
+    described = reps.select(
+        F.col("set_key").alias("node"), "n_shingles", band_ids(F.col("registers"), params).alias("bands"),
+        "bits",
+    )
+    side = rows.join(described, "node")
     one = side.select("band", *[F.col(c).alias(f"{c}_1") for c in side.columns if c != "band"])
     two = side.select("band", *[F.col(c).alias(f"{c}_2") for c in side.columns if c != "band"])
-    agree = F.size(F.filter(F.zip_with("parts_1", "parts_2", lambda x, y: x == y), lambda same: same))
+    differ = []
+    for i in range(params.registers // 16):
+        half = f"((bits_1[{i}] ^ bits_2[{i}]) | shiftrightunsigned(bits_1[{i}] ^ bits_2[{i}], 1))"
+        differ.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & 1229782938247303441L)")
     sizes = F.least("n_shingles_1", "n_shingles_2") * 100 >= F.greatest("n_shingles_1", "n_shingles_2") * params.percent
-    return one.join(two, "band").where((F.col("label_1") < F.col("label_2")) & sizes & (agree >= least)).select(
-        F.col("set_key_1").alias("one"), F.col("set_key_2").alias("two")
-    )
+    common = F.filter(F.zip_with("bands_1", "bands_2", lambda x, y: F.when(x == y, x)), lambda band: band.isNotNull())
+    alike = F.expr(f"{' + '.join(differ)} <= {most}")
+    return one.join(two, "band").where(
+        (F.col("label_1") < F.col("label_2")) & sizes & alike & (F.get(common, F.lit(0)) == F.col("band"))
+    ).select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b"))

@@ -29,11 +29,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "value")
 
-# Credential contexts beyond the base ones: more names, and values of any printable characters.
+# Credential contexts beyond the base ones: more names, at a word's start or a camel-case hump, and values of any
+# printable characters, as long as they go on.
 CONTEXT = re.compile(
-    r"(?ai)(?<![a-z0-9])(?:password|passwd|passphrase|passcode|pwd|pass|pin|secret|client_secret|token|auth|api[_-]?key|access[_-]?key"
-    r"|private[_-]?key|credential)s?[\"']?(?:\x20*[:=]{1,2}>?\x20*|\x20+is\x20+)[\"']?([\x21\x23-\x26\x28-\x7e]{6,200})"
+    r"(?ai)(?:(?<![a-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:password|passwd|passphrase|passcode|pwd|pass|pin|secret|client_secret|token|auth"
+    r"|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?[\"']?(?:\x20*[:=]{1,2}>?\x20*|\x20+is\x20+)[\"']?(?=[\x21\x23-\x26\x28-\x7e]{6})"
 )
+VALUE = re.compile(r"[\x21\x23-\x26\x28-\x7e]+")
 HINTS = ("pass", "pwd", "pin", "secret", "token", "auth", "key", "credential")
 COMMON = ("password", "secret", "token", "admin", "welcome", "letmein", "qwerty", "changeme", "default", "example", "none", "null", "true", "false")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop", "abcdefghijklmnopqrstuvwxyz")
@@ -50,48 +52,53 @@ class SecretParams:
     max_word: int = 24
 
 
-def _walks(value: str) -> Iterator[tuple[int, int, float]]:
-    """Spans of at least three characters along a keyboard row or the alphabet, either way."""
-    for row in (r for keys in ROWS for r in (keys, keys[::-1])):
-        start = 0
-        while start < len(value) - 2:
-            end, at = start, row.find(value[start])
-            while at >= 0 and end < len(value) and at + end - start < len(row) and row[at + end - start] == value[end]:
-                end += 1
-            if end - start >= 3:
-                yield start, end, math.log10(len(ROWS) * 2 * len(row) * (end - start))
-            start = max(end, start + 1)
+def guess_cost(value: str, ranks: dict[str, int], max_word: int = 24, enough: float = math.inf) -> float:
+    """log10 of the guesses for the cheapest segmentation of ``value``, in time linear in its length.
 
-
-def guess_cost(value: str, ranks: dict[str, int], max_word: int = 24) -> float:
-    """log10 of the guesses for the cheapest segmentation of ``value``."""
+    Where every segmentation is known to cost ``enough``, the rest is not looked at and a lower bound of at least ``enough`` is given.
+    """
     n, low = len(value), value.lower()
     plain = low.translate(LEET)
-    steps: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    classes = sum(size for size, kind in ((10, r"[0-9]"), (26, r"[a-z]"), (26, r"[A-Z]"), (33, r"[^0-9A-Za-z]")) if re.search(kind, value))
+    one = math.log10(max(classes, 10))
+    repeats = re.finditer(r"(.{1,8}?)\1{2,}", low)
+    repeat = next(repeats, None)
+    rows = [r for keys in ROWS for r in (keys, keys[::-1])]
+    resume = [0] * len(rows)
+    # costs of the ends reached from the places looked at so far; every segmentation passes one of them
+    best = {0: 0.0}
     for start in range(n):
+        here = best.pop(start)
+        # joining another span costs a doubling: the guesser has to try where the cut is
+        joined = here + (math.log10(2) if start else 0.0)
+        reached = [(start + 1, here + one)]
         for end in range(start + 3, min(n, start + max_word) + 1):
-            rank = ranks.get(low[start:end])
-            extra = 0.0
+            rank, extra = ranks.get(low[start:end]), 0.0
             if rank is None:
                 rank, extra = ranks.get(plain[start:end]), math.log10(4)
             if rank is not None:
                 cased = 0.0 if value[start:end] == low[start:end] else math.log10(2 * (end - start))
-                steps[end].append((start, math.log10(rank + 1) + extra + cased))
-    for start in range(n):
+                reached.append((end, joined + math.log10(rank + 1) + extra + cased))
         if low[start].isdigit() and (found := DATE.match(low, start)):
-            steps[found.end()].append((start, math.log10(365 * 120)))
-    for start, end, cost in _walks(low):
-        steps[end].append((start, cost))
-    for found in re.finditer(r"(.{1,8}?)\1{2,}", low):
-        unit = len(found[1])
-        cost = math.log10(95) * unit + math.log10(len(found[0]) / unit)
-        steps[found.end()].append((found.start(), cost))
-    classes = sum(size for size, kind in ((10, r"[0-9]"), (26, r"[a-z]"), (26, r"[A-Z]"), (33, r"[^0-9A-Za-z]")) if re.search(kind, value))
-    one = math.log10(max(classes, 10))
-    best = [0.0] * (n + 1)
-    for end in range(1, n + 1):
-        # joining another span costs a doubling: the guesser has to try where the cut is
-        best[end] = min([best[end - 1] + one, *[best[start] + cost + (math.log10(2) if start else 0.0) for start, cost in steps[end]]])
+            reached.append((found.end(), joined + math.log10(365 * 120)))
+        # at least three characters along a keyboard row or the alphabet, either way
+        for i, row in enumerate(rows):
+            if resume[i] == start:
+                end, at = start, row.find(low[start])
+                while at >= 0 and end < n and at + end - start < len(row) and row[at + end - start] == low[end]:
+                    end += 1
+                if end - start >= 3:
+                    reached.append((end, joined + math.log10(len(ROWS) * 2 * len(row) * (end - start))))
+                resume[i] = max(end, start + 1)
+        if repeat and repeat.start() == start:
+            unit = len(repeat[1])
+            reached.append((repeat.end(), joined + math.log10(95) * unit + math.log10(len(repeat[0]) / unit)))
+            repeat = next(repeats, None)
+        for end, cost in reached:
+            if cost < best.get(end, math.inf):
+                best[end] = cost
+        if start % 8 == 7 and (least := min(best.values())) >= enough:
+            return least
     return best[n]
 
 
@@ -108,14 +115,27 @@ def find_spans(text: str, ranks: dict[str, int], params: SecretParams) -> list[t
     if any(word in low for word in HINTS):
         base.sort()
         reach = list(itertools.accumulate((end for _, end, _ in base), max))
-        for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:)]}>")
-            start, end = m.start(1), m.start(1) + len(value)
-            before = bisect.bisect_left(base, (end, 0, 0))
-            if before and reach[before - 1] > start:
+        place = run = 0
+        while m := CONTEXT.search(text, place):
+            start = m.end()
+            if start >= run:
+                run = VALUE.match(text, start).end()
+            first, last = bisect.bisect_right(reach, start), bisect.bisect_left(base, (run, 0, 0))
+            # a base assignment ends the value before it, or has it already
+            assigned = next((i for i in range(first, last) if base[i][2] == 0 and base[i][1] > start), last)
+            if assigned < last and base[assigned][0] <= start:
+                place = base[assigned][1]
+                continue
+            place = stop = base[assigned][0] if assigned < last else run
+            value = text[start:stop].rstrip(".,;:)]}>")
+            if len(value) < 6 or guess_cost(value, ranks, params.max_word, params.min_log10) < params.min_log10:
                 continue
-            if len(value) >= 6 and guess_cost(value, ranks, params.max_word) >= params.min_log10:
-                more.append((start, end, 3))
+            # what other base spans leave of it
+            at = start
+            for s, e, _ in [*base[first:assigned], (start + len(value),) * 2 + (0,)]:
+                if min(s, start + len(value)) - at >= 6:
+                    more.append((at, min(s, start + len(value)), 3))
+                at = max(at, e)
     return [(s, e, KINDS[k]) for s, e, k in sorted(base + more, key=lambda x: (x[0], x[2], x[1]))]
 
 

@@ -202,6 +202,19 @@ def test_guess_costs_order_values():
     assert kinds('pwd: "xK9#qL2!vB7"') == ["xK9#qL2!vB7"] and kinds("password is dragonhouse.") == []
 
 
+def test_credential_values_of_any_length_and_camel_case_names():
+    rng = random.Random(8)
+    kinds = lambda text: [text[s:e] for s, e, k in secrets.find_spans(text, {}, secrets.SecretParams()) if k == "value"]
+    long = "".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZghijklmnopqrstuvwxyz+/", k=1600))
+    assert kinds(f"private_key = {long} end") == [long] and kinds(f'"auth": "{long}"') == [long]
+    assert kinds('dbPassword: "P@ss-9xQ!"') == ["P@ss-9xQ!"] and kinds("compass: P@ss-9xQ! COMPASS: P@ss-9xQ!") == []
+    # base spans inside a long value stay as they are, and what follows them in the same run of characters is still searched
+    mixed = f"auth={long}&token=abcdefghijkl&pwd=xK9#qL2!vB7"
+    assert kinds(mixed) == [f"{long}&", "xK9#qL2!vB7"]
+    assert kinds(f"pwd={long}{'0a' * 10}{long}") == [long, long]
+    assert secrets.guess_cost("ab" * 500, {}) < 8 <= secrets.guess_cost(long * 500, {}, enough=8.0) < 100
+
+
 def test_language_model_on_two_alphabets(spark, empty, docs):
     rng = random.Random(3)
     make = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(30))

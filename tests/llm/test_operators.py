@@ -252,6 +252,29 @@ def test_lm_is_normalised():
     assert abs(np.exp(scores - logs[3, 7]).sum() - 1) < 1e-4
 
 
+def test_lm_vocabulary_follows_the_counts(spark, monkeypatch):
+    """Every word that is frequent enough has its own vector, and the chain over groups and words sums to one."""
+    import numpy as np
+
+    rng = random.Random(6)
+    vocabulary = [f"w{i:04d}" for i in range(2500)]
+    data = [(i, " ".join(vocabulary * 2 + rng.sample(vocabulary, 200))) for i in range(6)]
+    seen, make = [], lm.train_vectors
+    monkeypatch.setattr(lm, "train_vectors", lambda *args: seen.append((args[1].number, args[3])) or make(*args))
+    got = lm.score_documents(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    words, params = seen[0]
+    assert sorted(w.decode() for w in words) == vocabulary and params.units == 2500 + params.classes + 1 and all(r.score < 0 for r in got)
+
+    small = lm.LmParams(words=20, classes=3, dims=4)
+    unigram = np.arange(small.units, 0, -1) / np.arange(small.units + 1).sum()
+    v = lm.Vectors.start(unigram, small)
+    assert len(v.edges) > 3
+    units = np.arange(small.units)
+    for last, before in ((3, 7), (23, 23), (21, 0)):
+        logs = lm.log_chances(v, np.full(len(units), last), np.full(len(units), before), units)
+        assert abs(np.exp(logs).sum() - 1) < 1e-4
+
+
 def test_main_text(spark):
     page = (
         '<html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li>'

@@ -25,7 +25,11 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class LanguageParams:
-    """``sample``: about so many documents a language are used to fit weights. ``dims``: hashed n-gram features."""
+    """``sample``: about so many documents a language are used to fit weights. ``dims``: hashed n-gram features.
+
+    ``excerpt`` and ``error``: the limits of ``LanguageModel.accepts`` let about that share of held-out excerpts of so many
+    characters go, half of it by each.
+    """
 
     sample: int = 800
     dims: int = 1 << 15
@@ -35,6 +39,8 @@ class LanguageParams:
     l1: float = 1e-3
     l2: float = 1e-4
     epochs: int = 3
+    excerpt: int = 40
+    error: float = 0.01
     seed: int = 11
 
 
@@ -59,6 +65,16 @@ def grams(text: str, params: LanguageParams) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(found), return_counts=True)
 
 
+def excerpt(text: str, params: LanguageParams) -> str:
+    """About ``params.excerpt`` characters from the middle, from the start of a word on; empty if there is no letter in them."""
+    text = text.strip()
+    start = max(0, (len(text) - params.excerpt) // 2)
+    if start:
+        start = text.find(" ", start, start + params.excerpt // 2) + 1 or start
+    cut = text[start : start + params.excerpt]
+    return cut if _LETTER.search(cut) else ""
+
+
 @dataclass
 class LanguageModel:
     params: LanguageParams
@@ -67,6 +83,8 @@ class LanguageModel:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    least_score: float = 0.0
+    most_strange: float = float("inf")
 
     def vector(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         value = np.log1p(counts) * self.idf[at]
@@ -75,13 +93,36 @@ class LanguageModel:
     def logits(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return self.vector(at, counts) @ self.weights[at] + self.bias
 
+    def strangeness(self, at: np.ndarray, counts: np.ndarray) -> float:
+        """Mean rarity of a text's n-grams among the training documents."""
+        return float(self.idf[at] @ counts / max(counts.sum(), 1))
+
+    def judged(self, at: np.ndarray, counts: np.ndarray) -> tuple[int, float]:
+        """The best language and its probability."""
+        scores = self.logits(at, counts) / self.temperature
+        chances = np.exp(scores - scores.max())
+        best = int(chances.argmax())
+        return best, float(chances[best] / chances.sum())
+
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or not self.languages or not _LETTER.search(text):
             return UNKNOWN, 0.0
-        scores = self.logits(*grams(text, self.params)) / self.temperature
-        chances = np.exp(scores - scores.max())
-        best = int(chances.argmax())
-        return self.languages[best], float(chances[best] / chances.sum())
+        best, score = self.judged(*grams(text, self.params))
+        return self.languages[best], score
+
+    def accepts(self, text: str | None) -> bool:
+        """Whether the text is in a learned language: its best probability and its n-grams are as in held-out texts."""
+        if text is None or not self.languages or not _LETTER.search(text):
+            return False
+        found = grams(text, self.params)
+        return self.judged(*found)[1] >= self.least_score and self.strangeness(*found) <= self.most_strange
+
+    def calibrate(self, excerpts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Sets the limits from held-out excerpts."""
+        if excerpts:
+            half = self.params.error / 2
+            self.least_score = float(np.quantile([self.judged(*x)[1] for x in excerpts], half, method="lower"))
+            self.most_strange = float(np.quantile([self.strangeness(*x) for x in excerpts], 1 - half, method="higher"))
 
 
 def document_frequencies(texts: DataFrame, params: LanguageParams) -> tuple[np.ndarray, int]:
@@ -104,11 +145,11 @@ def document_frequencies(texts: DataFrame, params: LanguageParams) -> tuple[np.n
 
 
 def _sample(training: DataFrame, params: LanguageParams) -> pd.DataFrame:
-    """About ``params.sample`` rows of each language: the features, not the texts."""
+    """About ``params.sample`` rows of each language: the features of the text and of a short excerpt, not the texts."""
     sizes = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     chance = sizes.select("lang", (F.lit(float(params.sample)) / F.col("n")).alias("chance")).collect()
     if not chance:
-        return pd.DataFrame({"lang": [], "at": [], "counts": []})
+        return pd.DataFrame({"lang": [], "at": [], "counts": [], "short_at": [], "short_counts": []})
     share = F.lit(0.0)
     for row in chance:
         share = F.when(F.col("lang") == row["lang"], F.lit(row["chance"])).otherwise(share)
@@ -117,11 +158,16 @@ def _sample(training: DataFrame, params: LanguageParams) -> pd.DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            found = [grams(text, params) for text in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "at": [f[0].astype(np.int32) for f in found], "counts": [f[1].astype(np.int32) for f in found]})
+            columns = {"lang": batch["lang"]}
+            for prefix, texts in (("", batch["text"]), ("short_", [excerpt(text, params) for text in batch["text"]])):
+                found = [grams(text, params) for text in texts]
+                for i, name in enumerate(("at", "counts")):
+                    columns[prefix + name] = [f[i].astype(np.int32) for f in found]
+            yield pd.DataFrame(columns)
 
     chosen = training.where(F.rand(params.seed) < share).select("lang", "text")
-    return chosen.mapInPandas(run, "lang string, at array<int>, counts array<int>").toPandas()
+    schema = "lang string, at array<int>, counts array<int>, short_at array<int>, short_counts array<int>"
+    return chosen.mapInPandas(run, schema).toPandas()
 
 
 def train(training: DataFrame, params: LanguageParams = LanguageParams()) -> LanguageModel:
@@ -145,6 +191,8 @@ def train(training: DataFrame, params: LanguageParams = LanguageParams()) -> Lan
     logits = np.array([model.logits(*rows[i]) for i in held]).reshape(len(held), k)
     model.temperature = _temperature(logits, labels[held])
     model.weights = model.weights.astype(np.float32)
+    shorts = [(np.array(sample["short_at"][i], np.int64), np.array(sample["short_counts"][i], np.int64)) for i in held]
+    model.calibrate([x for x in shorts if len(x[0])])
     return model
 
 
@@ -216,3 +264,15 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float) ->
     """The rows of ``docs``, all columns, whose language is known with at least ``min_score``."""
     found = predicted(model, docs)
     return docs.where((found["lang"] != UNKNOWN) & (found["score"] >= min_score))
+
+
+def keep_accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs``, all columns, whose texts are in a language that the model has learned."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def judge(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.accepts(t if isinstance(t, str) else None) for t in texts], dtype=bool)
+
+    return docs.where(judge(F.col("text")))

@@ -230,6 +230,22 @@ def test_language_model_on_two_alphabets(spark, empty, docs):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_the_language_stage_rejects_unlearned_languages(spark):
+    from reecho.llm import pipeline_stages
+
+    rng = random.Random(5)
+    vocabularies = [["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(300)] for letters in ("aeioubcdlm", "aeioupqrst", "aeioufghjk", "aeiouvwxyz")]
+    made = lambda which, n: " ".join(rng.choice(vocabularies[which]) for _ in range(n))
+    data = [(i, made(i % 4, rng.randint(40, 90)), f"l{i % 4}") for i in range(400)]
+    data += [(1000 + i, made(i % 4, 9), None) for i in range(40)]
+    strange = ["Съешь же ещё этих мягких французских булок, да выпей чаю", "これは学習されていない言語の文章です。", "η γρήγορη καφέ αλεπού πηδάει"]
+    data += [(2000 + i, t, None) for i, t in enumerate(strange)]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in pipeline_stages.identified(spark, frame, "").collect()}
+    assert not [i for i in kept if i >= 2000]
+    assert len([i for i in kept if 1000 <= i < 2000]) >= 38 and len([i for i in kept if i < 1000]) >= 398
+
+
 def test_lm_scores(docs, rows, empty):
     params = lm.LmParams(words=50, classes=4, listed=60, dims=4)
     got = lm.score_documents(docs.withColumn("rare", F.lit(1)), params).collect()

@@ -186,6 +186,17 @@ def test_pii_judge_adds_loose_forms(spark):
     assert got[2] == [("email", "jane.roe (at) example (dot) org")] and got[3] == [("ip", "10[.]20[.]30[.]40")]
 
 
+def test_pii_proposes_overlapping_cards_and_short_addresses(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"card {card} 123", f"pay with {card} 12/26 please", f"card 2024 {card}", "host 2001:db8::ff00:42:8329 now", "server fe80::1", f"card {card} today", "9" * 5000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [(s.kind, r.text[s.start : s.end]) for s in r.spans] for r in pii.find_pii(frame).collect()}
+    assert got == {
+        0: [("card", card)], 1: [("card", card)], 2: [("card", card)], 3: [("ip", "2001:db8::ff00:42:8329")], 4: [("ip", "fe80::1")],
+        5: [("card", card)], 6: [],
+    }
+
+
 def test_secrets(docs, rows, empty):
     got = secrets.find_secrets(docs.withColumn("spans", F.lit(1))).collect()
     base = sorted(((r.doc_id, y.span_text([(s.kind, s.start, s.end) for s in r.spans if s.kind != "value"])) for r in got), key=as_key)

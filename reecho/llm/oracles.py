@@ -66,8 +66,76 @@ FROM stay GROUP BY doc_id
 """
 
 
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+whole AS (SELECT lang, term, sum(c) AS c FROM c GROUP BY ALL),
+nl AS (SELECT lang, sum(n) AS n FROM n GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    CAST(1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 5) // (coalesce(n.n, 0) + 5 * v.v) AS BIGINT) AS p,
+    CAST(1 + 1000000000::HUGEINT * (whole.c + 5) // (nl.n + 5 * v.v) AS BIGINT) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) JOIN whole USING (lang, term) JOIN nl USING (lang)
+  LEFT JOIN c USING (lang, source, term) LEFT JOIN n USING (lang, source)),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term) GROUP BY ALL),
+pair AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+# crc32 of an id's digits: eight steps of the reflected polynomial for each byte.
+_STEP = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+_BYTE = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: " + _STEP + ")"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: ascii(s))), lambda c, b: {_BYTE}), 4294967295)"
+
+PERIODIC_RUNS = f"""
+WITH d AS (
+  SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+e AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS again, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN again THEN g % n END AS a FROM e),
+b AS (SELECT *, CASE WHEN again THEN 1 + (n - a) // (3 + g % 8) END AS p FROM a),
+t AS (
+  SELECT doc_id, n, i, w[CASE WHEN i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM b)),
+m AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i
+  WHERE 3 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m) GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(24, 3 * q) GROUP BY ALL),
+digest AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+  FROM r GROUP BY doc_id),
+best AS (
+  SELECT * FROM r x WHERE NOT EXISTS (
+    SELECT 1 FROM r y WHERE y.doc_id = x.doc_id AND (y.length * x.period > x.length * y.period OR (
+      y.length * x.period = x.length * y.period AND (y.start < x.start OR (y.start = x.start AND y.period < x.period)))))),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.start, best.length, best.period, CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM d LEFT JOIN digest USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_contamination": CONTAMINATION,
     "op6_line_dedup": LINE_DEDUP,
     "op9_near_duplicates": near_duplicates(4),
+    "op12_divergence": DIVERGENCE,
+    "op13_periodic_runs": PERIODIC_RUNS,
 }

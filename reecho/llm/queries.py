@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reecho.llm import contamination, fingerprints, html_text, language, lines, lm, near_dup, packing, pii, secrets
-from reecho.llm.common import fold, table
+from reecho.llm import contamination, divergence, fingerprints, html_text, language, lines, lm, near_dup, packing, periods, pii, secrets
+from reecho.llm import token_counts
+from reecho.llm.common import fold, free_name, table
+from reecho.operators.documents import computed_once
 
 END_ID = 2
 CONTRACT_SHINGLE = 4
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _joined(spans: Column) -> Column:
@@ -95,6 +97,46 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in a tenth of the documents the words from one place on repeat. A null doc_id changes nothing."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    share = F.call_function("div", crc, F.lit(10))
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words, n, first, period = (free_name(docs, c) for c in ("words", "n", "first", "period"))
+    placed = computed_once(docs, words, F.when(crc % 10 == 0, found)).withColumn(n, F.size(words)).withColumn(first, share % F.col(n))
+    placed = placed.withColumn(period, 1 + F.call_function("div", F.col(n) - F.col(first), 3 + share % 8))
+    source = lambda i: F.col(first) + (i - F.col(first)) % F.col(period)
+    repeated = F.transform(words, lambda w, i: F.when(i >= F.col(first), F.get(words, source(i).cast("int"))).otherwise(w))
+    text = F.when(F.col(n) > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return placed.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.periodic_runs(with_repeats(docs))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.call_function("div", 1000 * best["length"], best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -106,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_html_text": op10_html_text,
+    "op11_token_counts": op11_token_counts,
+    "op12_divergence": op12_divergence,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -7,8 +7,8 @@ import yardstick as y
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from reecho.llm import contamination, fingerprints, html_text, language, lines, lm, near_dup, packing, pii, secrets
-from reecho.llm.queries import END_ID, tokenizer_path
+from reecho.llm import contamination, divergence, fingerprints, html_text, language, lines, lm, near_dup, packing, periods, pii, secrets, token_counts
+from reecho.llm.queries import END_ID, tokenizer_path, with_repeats
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu", "ra", "so", "ti") for b in ("ber", "dan", "fel", "gor", "lin", "mot")]
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -343,6 +343,101 @@ def test_layouts_are_learned():
     assert wrong < 0.02 * total
 
 
+@pytest.fixture(scope="module")
+def piece_model():
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
+def test_token_counts_are_the_librarys(docs, rows, empty, piece_model):
+    for params in (token_counts.CountParams(), token_counts.CountParams(frequent=3, remembered=1000, longest=4)):
+        found = token_counts.count_tokens(docs.withColumn("n_tokens", F.lit("x")), piece_model, 100, params).collect()
+        got = [(r.doc_id, r.text, r.n_bytes, r.n_tokens_, r.over_limit) for r in found]
+        counts = token_counts.whole_counts([t for _, t in pairs(rows)], piece_model)
+        want = [(i, t, len((t or "").encode()), n, n > 100) for (i, t), n in zip(pairs(rows), counts, strict=True)]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert token_counts.count_tokens(empty, piece_model).count() == 0
+
+
+def test_pre_token_lengths_add_up(piece_model):
+    """Odd texts: runs of spaces, the model's own space, line ends, marks of no length, special strings, all planes of Unicode."""
+    rng = random.Random(3)
+    parts = [" ", "  ", "\n", "\t", "\r", "▁", "a", "the", "İ", "e\u0301", "中文", "😀", "\x00", "\u3000", "<s>", "<0x0A>", ".", ";\r", "\xa0", "0"]
+    ranges = [(1, 128), (128, 0x800), (0x800, 0xD800), (0xE000, 0x110000)]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    texts += ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(rng.randint(1, 20))) for _ in range(5000)]
+    model = token_counts.PieceModel(piece_model)
+    model.check()
+    known = token_counts.Lengths(model, {}, token_counts.CountParams(remembered=20_000))
+    assert [known.count(t) for t in texts] == token_counts.whole_counts(texts, piece_model)
+    assert known.held <= 20_000
+
+
+def test_summaries_of_tasks_merge(spark):
+    frame = spark.createDataFrame([(f"often word{i}",) for i in range(400)] + [(None,), ("",)], "text string").repartition(7)
+    found = token_counts.frequent_words(frame, token_counts.CountParams(frequent=10))
+    assert found[" often"] == 400 and len(found) <= 10
+
+
+@pytest.mark.parametrize("block", [1_000_000, 40])
+def test_divergence_matches_brute_force(spark, rows, empty, block):
+    """With one vocabulary and with several blocks of terms; null, empty and odd languages and sources."""
+    rng = random.Random(8)
+    own = [(i, " ".join(rng.choice(WORDS[k : k + 20]) for _ in range(12)), lang, f"s{k}", None) for i in range(40) for k in (0, 5, 9) for lang in ("xx", "a:b", None)]
+    own += [(None, None, "xx", None, None), (1, "", "only", "empty", 1), (1, "ÄÖ ä x1y", "only", "é", 1), own[0], own[0]]
+    params = divergence.DivergenceParams(min_docs=3, listed=4, vocabulary=block)
+    frame = spark.createDataFrame(own + rows, DOCS).withColumn("term", F.lit(1)).withColumn("at", F.lit("x"))
+    got = [tuple(r) for r in divergence.divergence(frame, params).collect()]
+    want = y.divergence([(r[1], r[2], r[3]) for r in own + rows], 3, 4)
+    assert sorted(got) == sorted(want)
+    assert {"pair", "term"} == {r[2] for r in got}
+    assert divergence.divergence(empty, params).count() == 0
+
+
+def test_shares_are_exact_beyond_doubles(spark):
+    row = spark.range(1).select(divergence.share(F.lit(10**12 + 1), F.lit(3 * 10**15 + 7), F.lit(10**7), divergence.DivergenceParams()).alias("p")).first()
+    assert row.p == 1 + 10**9 * (10**12 + 6) // (3 * 10**15 + 7 + 5 * 10**7)
+
+
+def test_runs_match_brute_force(spark, docs, rows, empty):
+    rng = random.Random(6)
+    texts = []
+    for _ in range(120):
+        words = [rng.choice(WORDS[: rng.choice([1, 2, 30])]) for _ in range(rng.randint(0, 100))]
+        for _ in range(rng.randint(0, 3)):
+            words += [rng.choice(WORDS) for _ in range(rng.randint(0, 9))] + [rng.choice(WORDS) for _ in range(rng.randint(1, 12))] * rng.randint(2, 30)
+        texts.append(rng.choice([" ", "\n", "\t \x0b"]).join(words))
+    own = [(i, t) for i, t in enumerate([*texts, None, "", "  ", "go " * 20_000, "a b " * 12 + "c " + "a b " * 12])] + [(0, texts[0])]
+    frame = spark.createDataFrame(own, "doc_id bigint, text string").withColumn("runs", F.lit(1))
+    found = periods.periodic_runs(frame, periods.RunParams(words_at_once=300)).collect()
+    got = [(r.doc_id, r.n_words, [tuple(x) for x in r.runs_], r.strongest and tuple(r.strongest), r.collapsed) for r in found]
+    want = [(i, *y.periodic_runs(t)) for i, t in own]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(len(w[2]) > 1 for w in want) > 3
+    assert {r.doc_id: len(r.runs) for r in periods.periodic_runs(docs).collect()}.keys() == {r[0] for r in rows}
+    assert periods.periodic_runs(empty).count() == 0
+
+
+def test_common_extensions(spark):
+    import numpy as np
+
+    rng = random.Random(9)
+    for _ in range(60):
+        ids = np.array([rng.randrange(rng.choice([1, 2, 5])) for _ in range(rng.randint(1, 150))] + [99])
+        pairs_of = np.array([rng.sample(range(len(ids)), 2) for _ in range(40)])
+        found = periods.CommonExtensions(ids).of(pairs_of[:, 0], pairs_of[:, 1])
+        for (one, two), n in zip(pairs_of.tolist(), found.tolist(), strict=True):
+            want = next(k for k in range(len(ids)) if max(one, two) + k == len(ids) or ids[one + k] != ids[two + k])
+            assert n == want
+
+
+def test_repeats_follow_the_contract(docs, rows):
+    got = [(r.doc_id, r.text) for r in with_repeats(docs.withColumn("words", F.lit(1)).withColumn("n", F.lit(1))).collect()]
+    want = [(i, y.with_repeats(i, t)) for i, t in pairs(rows)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert got != pairs(rows)
+
+
 def test_components_name_the_least_node(spark):
     from reecho.llm.common import components
     from reecho.workspace import Workspace

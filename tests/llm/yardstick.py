@@ -201,3 +201,69 @@ def line_drops(docs, least: int = 20):
         )
         out.append((i, left))
     return out
+
+
+def divergence(docs, least: int, listed: int):
+    """Rows (lang, source, part, item, value, rank) of ``(text, lang, source)``, by trying everything."""
+    docs = [tuple(x or "" for x in d) for d in docs]
+    found = []
+    for lang in {d[1] for d in docs}:
+        own = [(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate(LOWER)), s) for t, l, s in docs if l == lang]
+        spread: dict = {}
+        for words, _ in own:
+            for word in set(words):
+                spread[word] = spread.get(word, 0) + 1
+        kept = [w for w, n in spread.items() if n >= least]
+        sources = {s for _, s in own}
+        counts = {s: {w: 0 for w in kept} for s in [*sources, None]}
+        for words, s in own:
+            for word in words:
+                if spread[word] >= least:
+                    counts[s][word] += 1
+                    counts[None][word] += 1
+        shares = {
+            s: {w: 1 + 10**9 * (n + 5) // (sum(c.values()) + 5 * len(kept)) for w, n in c.items()} for s, c in counts.items()
+        }
+        for s in sources:
+            gap = [(o, sum(abs(shares[s][w] - shares[o][w]) for w in kept)) for o in sources if o != s]
+            more = [(w, shares[s][w] - shares[None][w]) for w in kept if counts[s][w] and shares[s][w] > shares[None][w]]
+            for part, rows, most in (("pair", gap, None), ("term", more, listed)):
+                rows = sorted(rows, key=lambda r: (-r[1], r[0].encode()))[:most]
+                found += [(lang, s, part, item, value, k + 1) for k, (item, value) in enumerate(rows)]
+    return found
+
+
+def with_repeats(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    crc = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if crc is None or crc % 10 or not words:
+        return text
+    n, g = len(words), crc // 10
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    return " ".join(words[i] if i < at else words[at + (i - at) % period] for i in range(n))
+
+
+def periodic_runs(text):
+    """``(n_words, runs, strongest, collapsed)`` by trying every period at every place."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, found = len(words), {}
+    for q in range(1, n // 3 + 1):
+        if len(set(words)) == 1 and q > 1:
+            break  # one word throughout: period 1 is all there is
+        i = 0
+        while i + q < n:
+            end = i
+            while end + q < n and words[end] == words[end + q]:
+                end += 1
+            if end + q - i >= max(24, 3 * q):
+                found.setdefault((i, end + q - i), q)
+            i = end + 1
+    runs = sorted((s, length, q) for (s, length), q in found.items())
+    runs.sort(key=lambda r: (r[0], r[2]))
+    best = None
+    for r in runs:
+        if best is None or r[1] * best[2] > best[1] * r[2] or (r[1] * best[2] == best[1] * r[2] and (r[0], r[2]) < (best[0], best[2])):
+            best = r
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return n, runs, best, " ".join(w for i, w in enumerate(words) if i not in gone)

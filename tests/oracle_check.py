@@ -25,6 +25,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def normalised(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)]
+    # whole numbers with nulls arrive as doubles from one side and as nullable integers from the other
+    frame = frame.astype({c: "float64" for c in frame.columns if str(frame[c].dtype) == "Int64"})
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
 
 

@@ -36,7 +36,7 @@ class CountParams:
     A pre-token of more than ``longest`` characters is coded each time. Neither bound changes a count.
     """
 
-    frequent: int = 50_000
+    frequent: int = 100_000
     remembered: int = 64 << 20
     longest: int = 200
 
@@ -59,6 +59,10 @@ class PieceModel:
         """Coded after a line feed, which nothing joins, as the library puts a space before what it codes."""
         return [len(ids) - self.before for ids in self.coder.encode([APART + word for word in words], num_threads=1)]
 
+    def length(self, word: str) -> int:
+        """One word at a time; a list of one would start the library's threads."""
+        return len(self.coder.encode(APART + word)) - self.before
+
     def check(self) -> None:
         """Raises an error for a model whose counts pre-tokens do not add up to."""
         coder = self.coder
@@ -76,13 +80,13 @@ class Lengths(dict):
 
     def __init__(self, model: PieceModel, frequent: dict[str, int], params: CountParams):
         super().__init__(frequent)
-        self[APART] = model.lengths([APART])[0]
+        self[APART] = model.length(APART)
         self.model, self.params = model, params
         self.own: list[str] = []
         self.held = 0
 
     def __missing__(self, word: str) -> int:
-        n = self.model.lengths([word])[0]
+        n = self.model.length(word)
         if len(word) <= self.params.longest:
             self.held += 150 + 4 * len(word)
             if self.held > self.params.remembered:

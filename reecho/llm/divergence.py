@@ -2,34 +2,44 @@
 
 A CountVectorizer with ``minDF`` and no bound on its vocabulary turns each document into an exact sparse vector of its
 language's terms; terms carry their language, so that one fit serves all languages. The driver and every executor hold a
-vocabulary, so it is fitted in as many hash blocks of terms as keep each under a stated size. Vectors are summed by
-(language, source), entry by entry, and everything after reads these sums. A pair of sources is compared
+vocabulary, so its terms are counted first, and it is fitted in as many hash blocks of terms as keep each under a stated size. Vectors
+are summed by (language, source), entry by entry, and everything after reads these sums. A pair of sources is compared
 on the terms that either holds: a term that neither holds adds the same value each time, so it is multiplied out.
+
+Texts are cut into terms on Arrow batches, by whole arrays of bytes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reecho.llm.common import ascii_lower
-from reecho.operators.skew import block_pairs
+from reecho.llm.common import mixed, ship, span_hashes
 from reecho.workspace import Workspace
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 GROUP = ["lang", "source"]
 MARK = ":"  # no term holds it, so what follows the last one is the term
 
+# What a byte of a term becomes, 0 for bytes between terms: letters in lower case, and all of a character beyond ASCII.
+_TERM_BYTE = np.arange(256, dtype=np.uint8)
+_TERM_BYTE[:128] = [ord(chr(b).lower()) if chr(b).isalpha() else 0 for b in range(128)]
+
 
 @dataclass(frozen=True)
 class DivergenceParams:
     """Terms in ``min_docs`` documents of a language count, ``smoothing`` is added to each count, shares are in ``scale``-ths.
 
-    ``vocabulary`` bounds the terms of one fit, and so what the driver holds and broadcasts at once.
+    ``vocabulary`` bounds the terms of one fit, and so what the driver holds and broadcasts at once. About ``entries_at_once``
+    entries of a language's sums are compared in one task, for about ``sources_at_once`` of its sources.
     """
 
     min_docs: int = 30
@@ -37,42 +47,118 @@ class DivergenceParams:
     scale: int = 1_000_000_000
     listed: int = 50
     vocabulary: int = 1_000_000
+    entries_at_once: int = 250_000
+    sources_at_once: int = 256
+
+
+@dataclass
+class CutTexts:
+    """Terms of a batch's texts: ``low[starts:ends]`` spells a term, ``at[k]:at[k + 1]`` are the terms of text k."""
+
+    at: np.ndarray
+    low: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def strings(self) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)]).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(self.starts), pa.py_buffer(offsets), pa.py_buffer(self.low[self.low != 0]))
+
+    def owners(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+
+    def names(self, langs: pa.Array) -> np.ndarray:
+        """64-bit names of the terms, each of a language of its own."""
+        of_lang = langs.dictionary_encode()
+        spelt = [f"{MARK}{lang}".encode() for lang in of_lang.dictionary.to_pylist()]
+        keys = np.concatenate([span_hashes(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)])) for x in spelt])
+        own = keys[of_lang.indices.to_numpy(zero_copy_only=False)][self.owners()]
+        return mixed(span_hashes(self.low, self.starts, self.ends) ^ own)
+
+
+def cut_terms(texts: pa.Array) -> CutTexts:
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, places, data = texts.buffers()
+    places = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[places[0] : places[-1]] if data is not None else np.zeros(0, np.uint8)
+    places = places - places[0]
+    low = _TERM_BYTE[data]
+    inside = low != 0
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    borders = places[places < len(low)]
+    starts[borders] = inside[borders]
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | starts[1:]
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    return CutTexts(np.searchsorted(starts, places), low, starts, ends)
+
+
+def _over_texts(docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    ship(docs.sparkSession)
+    filled = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*GROUP, "text")])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield work(batch)
 
-def with_terms(docs: DataFrame) -> DataFrame:
-    """``(lang, source, terms)``: the terms of each text with their language in front. Nulls are empty strings."""
-    filled = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*GROUP, "text")])
-    found = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0))
-    return filled.select(*GROUP, F.transform(found, lambda t: F.concat("lang", F.lit(MARK), t)).alias("terms"))
+    return filled.mapInArrow(run, schema)
+
+
+def with_terms(docs: DataFrame, block: int = 0, blocks: int = 1) -> DataFrame:
+    """``(lang, source, terms)``: the terms of each text with their language in front, those of one hash block of ``blocks``."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cut, langs = cut_terms(batch.column("text")), batch.column("lang")
+        at, terms, owner = cut.at, cut.strings(), cut.owners()
+        if blocks > 1:
+            kept = np.flatnonzero(cut.names(langs) % np.uint64(blocks) == block)
+            terms, owner = terms.take(pa.array(kept)), owner[kept]
+            at = np.searchsorted(kept, at)
+        prefix = langs.cast(pa.large_string()).take(pa.array(owner))
+        named = pc.binary_join_element_wise(prefix, terms, pa.scalar(MARK, pa.large_string()))
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), named.cast(pa.string()))
+        return pa.RecordBatch.from_arrays([langs, batch.column("source"), lists], [*GROUP, "terms"])
+
+    return _over_texts(docs, work, "lang string, source string, terms array<string>")
+
+
+def documents_of_terms(docs: DataFrame) -> DataFrame:
+    """``(name, n)``: in how many documents of its language a term is, by its 64-bit name; summed by batches before the shuffle."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cut = cut_terms(batch.column("text"))
+        names = cut.names(batch.column("lang"))
+        once = [np.unique(names[cut.at[k] : cut.at[k + 1]]) for k in range(len(batch))]
+        found, n = np.unique(np.concatenate(once), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["name", "n"])
+
+    return _over_texts(docs, work, "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
 
 
 def vocabulary_blocks(docs: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[int, list[int]]:
-    """Into how many hash blocks the terms go, and which of them hold any; none of them holds more than ``vocabulary`` terms."""
-    each = with_terms(docs).select(F.explode(F.array_distinct("terms")).alias("term"))
-    counted = each.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= params.min_docs)
-    kept = space.save(counted.select(F.xxhash64("term").alias("hash")), "kept")
-    blocks = max(1, -(-kept.count() // params.vocabulary))
+    """Into how many hash blocks the terms go, and which of them hold any; none of them holds more than ``vocabulary`` terms.
+
+    Should two terms share a name, a block holds one term more than was counted.
+    """
+    kept = space.save(documents_of_terms(docs).where(F.col("n") >= params.min_docs).select("name"), "kept")
+    blocks = 1
     while True:
-        # a handful of rows: as many as a vocabulary has blocks
-        sizes = dict(kept.groupBy(F.pmod("hash", F.lit(blocks)).alias("block")).count().collect())
+        # names are unsigned; blocks are powers of two, and so their remainders agree. As many rows as a vocabulary has blocks
+        sizes = dict(kept.groupBy(F.col("name").bitwiseAND(F.lit(blocks - 1)).alias("block")).count().collect())
         if max(sizes.values(), default=0) <= params.vocabulary:
             return blocks, sorted(sizes)
         blocks *= 2
 
 
-def _terms_of_block(named: DataFrame, block: int, blocks: int) -> DataFrame:
-    if blocks == 1:
-        return named
-    return named.withColumn("terms", F.filter("terms", lambda term: F.pmod(F.xxhash64(term), F.lit(blocks)) == block))
-
-
 def group_sums(docs: DataFrame, params: DivergenceParams, space: Workspace) -> DataFrame:
     """``(lang, source, term, count)`` of the kept terms, count > 0."""
     blocks, filled = vocabulary_blocks(docs, params, space)
     sums = None
     for block in filled:
-        named = _terms_of_block(with_terms(docs), block, blocks)
         counter = CountVectorizer(minDF=params.min_docs, vocabSize=2**31 - 1, inputCol="terms", outputCol="vector")
+        named = with_terms(docs, block, blocks)
         model = counter.fit(named)
         words = docs.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "at int, term string")
         vector = F.unwrap_udt("vector")
@@ -105,7 +191,7 @@ def divergence(docs: DataFrame, params: DivergenceParams = DivergenceParams(), s
     space = space or Workspace.of(docs.sparkSession, "divergence")
     sums = group_sums(docs, params, space)
     groups, terms = _facts(docs, sums, params, space)
-    return _pairs(groups, terms).unionByName(_terms(terms, sums, params))
+    return _pairs(groups, terms, params).unionByName(_terms(terms, sums, params))
 
 
 def _facts(docs: DataFrame, sums: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +217,7 @@ def _numbered(rows: DataFrame) -> Column:
     return F.row_number().over(W.partitionBy(*GROUP).orderBy(F.desc("value"), "item"))
 
 
-def _pairs(groups: DataFrame, terms: DataFrame) -> DataFrame:
+def _pairs(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> DataFrame:
     """Distances of all ordered pairs of sources of a language.
 
     With u, v the shares of a term in neither source, a pair's distance is V*|u-v|, plus |p-v| - |u-v| for each
@@ -147,12 +233,7 @@ def _pairs(groups: DataFrame, terms: DataFrame) -> DataFrame:
         *GROUP, "item", (F.col("n") * (gap("p", "v") - gap("u", "v"))).alias("part_value")
     )
     mirrored = one_side.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "part_value")
-    holders = terms.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    both = block_pairs(terms.join(holders, ["lang", "term"]), ("lang", "term"), "source", carry=("p", "unseen"))
-    shared = both.select(
-        "lang", "source_1", "source_2",
-        (gap("p_1", "p_2") - gap("p_1", "unseen_2") - gap("unseen_1", "p_2") + gap("unseen_1", "unseen_2")).alias("part_value"),
-    ).groupBy("lang", "source_1", "source_2").agg(F.sum("part_value").alias("part_value"))
+    shared = _shared(groups, terms, params)
     sides = F.array(
         F.struct(F.col("source_1").alias("source"), F.col("source_2").alias("item")),
         F.struct(F.col("source_2").alias("source"), F.col("source_1").alias("item")),
@@ -163,6 +244,53 @@ def _pairs(groups: DataFrame, terms: DataFrame) -> DataFrame:
     return summed.select(*GROUP, F.lit("pair").alias("part"), "item", "value", _numbered(summed).alias("rank"))
 
 
+def _shared(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> DataFrame:
+    """``(lang, source_1, source_2, part_value)`` for terms that both hold, source_1 < source_2.
+
+    A task meets a share of a language's terms, with all their sources, and for each of at most ``sources_at_once`` of these adds up
+    its differences to all others over the terms it holds.
+    """
+    many = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
+    held = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("entries"))
+    parts = lambda n, most: F.ceil(F.col(n) / F.lit(most)).cast("bigint")
+    sizes = many.join(held, "lang").select(
+        "lang", parts("entries", params.entries_at_once).alias("shares"), parts("sources", params.sources_at_once).alias("blocks")
+    )
+    dealt = terms.join(sizes, "lang").select(
+        "lang", "source", "p", "unseen", F.xxhash64("term").alias("term"), "blocks",
+        F.pmod(F.xxhash64("term"), F.col("shares")).alias("share"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
+    ).withColumn("own", F.pmod(F.xxhash64("source"), F.col("blocks")) == F.col("block"))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        names, source = np.unique(rows["source"].to_numpy(str), return_inverse=True)
+        order = np.argsort(source, kind="stable")
+        source = source[order]
+        _, term = np.unique(rows["term"].to_numpy(np.int64)[order], return_inverse=True)
+        p, unseen = (rows[c].to_numpy(np.int64)[order] for c in ("p", "unseen"))
+        starts = np.searchsorted(source, np.arange(len(names) + 1))
+        found = [np.zeros((0, 3), np.int64)]
+        for one in np.unique(source[rows["own"].to_numpy(bool)[order]]):
+            own = slice(starts[one], starts[one + 1])
+            mine = np.full(term.max() + 1, -1)
+            mine[term[own]] = p[own]
+            after = np.flatnonzero(mine[term[starts[one + 1] :]] >= 0) + starts[one + 1]
+            if len(after):
+                a, u, b, v = mine[term[after]], unseen[starts[one]], p[after], unseen[after]
+                gaps = np.abs(a - b) - np.abs(a - v) - np.abs(u - b) + np.abs(u - v)
+                others, firsts = np.unique(source[after], return_index=True)
+                found.append(np.stack([np.full(len(others), one), others, np.add.reduceat(gaps, firsts)], axis=1))
+        pairs = np.concatenate(found)
+        return pd.DataFrame({
+            "lang": rows["lang"].iloc[0], "source_1": names[pairs[:, 0]], "source_2": names[pairs[:, 1]], "part_value": pairs[:, 2],
+        })
+
+    compared = dealt.groupBy("lang", "share", "block").applyInPandas(
+        compare, "lang string, source_1 string, source_2 string, part_value bigint"
+    )
+    return compared.groupBy("lang", "source_1", "source_2").agg(F.sum("part_value").alias("part_value"))
+
+
 def _terms(terms: DataFrame, sums: DataFrame, params: DivergenceParams) -> DataFrame:
     """The terms that a source has more of than its language; each task sends at most ``listed`` of a source."""
     whole = sums.groupBy("lang", "term").agg(F.sum("count").alias("all"))

@@ -28,6 +28,7 @@ COVER, MODULUS = (1, 2, 4), 7
 # Steps from places with residues i and j to the next pair of sampled places.
 STEPS = np.array([[min(d for d in range(7) if (i + d) % 7 in COVER and (j + d) % 7 in COVER) for j in range(7)] for i in range(7)])
 
+BYTES_A_WORD = 8
 RUN = "struct<start:bigint,length:bigint,period:bigint>"
 
 
@@ -182,19 +183,26 @@ def find_runs(ids: np.ndarray, longest: int, params: RunParams = RunParams()) ->
     return runs[np.lexsort((runs[:, 2], runs[:, 0]))]
 
 
+def parts_of_like_length(sizes: np.ndarray, at_once: int) -> Iterator[np.ndarray]:
+    """Places of ``sizes`` in parts of like sizes that add up to ``at_once`` or are one alone."""
+    order = np.argsort(sizes, kind="stable")
+    first, held = 0, 0
+    for k, size in enumerate(sizes[order]):
+        if k > first and held + size > at_once:
+            yield order[first:k]
+            first, held = k, 0
+        held += size
+    if first < len(order):
+        yield order[first:]
+
+
 def runs_of_texts(texts: list[list[bytes]], params: RunParams = RunParams()) -> list[np.ndarray]:
     """Runs of each text, given as words; texts of like length are worked on together."""
     found = [np.zeros((0, 3), np.int64)] * len(texts)
-    part: list[int] = []
-    held = 0
-    for k in sorted((k for k, words in enumerate(texts) if len(words) >= params.min_words), key=lambda k: len(texts[k])):
-        if part and held + len(texts[k]) > params.words_at_once:
-            _together(texts, part, found, params)
-            part, held = [], 0
-        part.append(k)
-        held += len(texts[k]) + 1
-    if part:
-        _together(texts, part, found, params)
+    sizes = np.array([len(words) for words in texts], np.int64)
+    long = np.flatnonzero(sizes >= params.min_words)
+    for part in parts_of_like_length(sizes[long], params.words_at_once):
+        _together(texts, long[part].tolist(), found, params)
     return found
 
 
@@ -246,16 +254,19 @@ def periodic_runs(docs: DataFrame, params: RunParams = RunParams()) -> DataFrame
 
     @F.pandas_udf(f"n_words bigint, runs array<{RUN}>, strongest {RUN}, collapsed string")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        names = ("start", "length", "period")
+        named = lambda run: dict(zip(names, run, strict=True))
         for batch in batches:
-            texts = [t.encode("utf-8", "surrogatepass").split() if isinstance(t, str) else [] for t in batch]
-            found = runs_of_texts(texts, params)
-            named = ("start", "length", "period")
-            yield pd.DataFrame({
-                "n_words": [len(words) for words in texts],
-                "runs": [[dict(zip(named, r, strict=True)) for r in runs.tolist()] for runs in found],
-                "strongest": [dict(zip(named, s, strict=True)) if (s := strongest(runs)) else None for runs in found],
-                "collapsed": [b" ".join(collapsed(w, runs)).decode("utf-8", "surrogatepass") for w, runs in zip(texts, found, strict=True)],
-            })
+            rows: list = [None] * len(batch)
+            texts = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in batch]
+            # words are cut part by part: a word takes several times its letters
+            for part in parts_of_like_length(np.array([len(t) for t in texts], np.int64), BYTES_A_WORD * params.words_at_once):
+                cut = [texts[k].split() for k in part]
+                for k, words, runs in zip(part, cut, runs_of_texts(cut, params), strict=True):
+                    best = strongest(runs)
+                    left = b" ".join(collapsed(words, runs)).decode("utf-8", "surrogatepass")
+                    rows[k] = (len(words), [named(r) for r in runs.tolist()], best and named(best), left)
+            yield pd.DataFrame(rows, columns=["n_words", "runs", "strongest", "collapsed"])
 
     name = free_name(docs, "found_runs")
     names = {c: free_name(docs, c) for c in ("n_words", "runs", "strongest", "collapsed")}

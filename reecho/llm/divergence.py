@@ -27,6 +27,7 @@ from reecho.llm.common import mixed, ship, span_hashes
 from reecho.workspace import Workspace
 
 GROUP = ["lang", "source"]
+BYTES_AT_ONCE = 4 << 20
 MARK = ":"  # no term holds it, so what follows the last one is the term
 
 # What a byte of a term becomes, 0 for bytes between terms: letters in lower case, and all of a character beyond ASCII.
@@ -72,8 +73,15 @@ class CutTexts:
         of_lang = langs.dictionary_encode()
         spelt = [f"{MARK}{lang}".encode() for lang in of_lang.dictionary.to_pylist()]
         keys = np.concatenate([span_hashes(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)])) for x in spelt])
-        own = keys[of_lang.indices.to_numpy(zero_copy_only=False)][self.owners()]
-        return mixed(span_hashes(self.low, self.starts, self.ends) ^ own)
+        names = keys[of_lang.indices.to_numpy(zero_copy_only=False)][self.owners()]
+        # hashing takes some forty bytes for each one, so a long text goes in parts
+        borders = np.searchsorted(self.starts, np.arange(0, len(self.low) + BYTES_AT_ONCE, BYTES_AT_ONCE))
+        for one, two in zip(borders, borders[1:]):
+            if one < two:
+                first = self.starts[one]
+                part = self.low[first : self.ends[two - 1]]
+                names[one:two] ^= span_hashes(part, self.starts[one:two] - first, self.ends[one:two] - first)
+        return mixed(names)
 
 
 def cut_terms(texts: pa.Array) -> CutTexts:
@@ -94,14 +102,16 @@ def cut_terms(texts: pa.Array) -> CutTexts:
     return CutTexts(np.searchsorted(starts, places), low, starts, ends)
 
 
-def _over_texts(docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def _over_texts(docs: DataFrame, work: Callable[[list[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     ship(docs.sparkSession)
     filled = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*GROUP, "text")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                yield work(batch)
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = np.cumsum(sizes) // BYTES_AT_ONCE
+            borders = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(batch)]
+            yield from work([batch.slice(one, two - one) for one, two in zip(borders, borders[1:]) if one < two])
 
     return filled.mapInArrow(run, schema)
 
@@ -109,17 +119,18 @@ def _over_texts(docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch
 def with_terms(docs: DataFrame, block: int = 0, blocks: int = 1) -> DataFrame:
     """``(lang, source, terms)``: the terms of each text with their language in front, those of one hash block of ``blocks``."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cut, langs = cut_terms(batch.column("text")), batch.column("lang")
-        at, terms, owner = cut.at, cut.strings(), cut.owners()
-        if blocks > 1:
-            kept = np.flatnonzero(cut.names(langs) % np.uint64(blocks) == block)
-            terms, owner = terms.take(pa.array(kept)), owner[kept]
-            at = np.searchsorted(kept, at)
-        prefix = langs.cast(pa.large_string()).take(pa.array(owner))
-        named = pc.binary_join_element_wise(prefix, terms, pa.scalar(MARK, pa.large_string()))
-        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), named.cast(pa.string()))
-        return pa.RecordBatch.from_arrays([langs, batch.column("source"), lists], [*GROUP, "terms"])
+    def work(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            cut, langs = cut_terms(part.column("text")), part.column("lang")
+            at, terms, owner = cut.at, cut.strings(), cut.owners()
+            if blocks > 1:
+                kept = np.flatnonzero(cut.names(langs) % np.uint64(blocks) == block)
+                terms, owner = terms.take(pa.array(kept)), owner[kept]
+                at = np.searchsorted(kept, at)
+            prefix = langs.cast(pa.large_string()).take(pa.array(owner))
+            named = pc.binary_join_element_wise(prefix, terms, pa.scalar(MARK, pa.large_string()))
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), named.cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([langs, part.column("source"), lists], [*GROUP, "terms"])
 
     return _over_texts(docs, work, "lang string, source string, terms array<string>")
 
@@ -127,12 +138,14 @@ def with_terms(docs: DataFrame, block: int = 0, blocks: int = 1) -> DataFrame:
 def documents_of_terms(docs: DataFrame) -> DataFrame:
     """``(name, n)``: in how many documents of its language a term is, by its 64-bit name; summed by batches before the shuffle."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cut = cut_terms(batch.column("text"))
-        names = cut.names(batch.column("lang"))
-        once = [np.unique(names[cut.at[k] : cut.at[k + 1]]) for k in range(len(batch))]
+    def work(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = [np.zeros(0, np.uint64)]
+        for part in parts:
+            cut = cut_terms(part.column("text"))
+            names = cut.names(part.column("lang"))
+            once += [np.unique(names[cut.at[k] : cut.at[k + 1]]) for k in range(len(part))]
         found, n = np.unique(np.concatenate(once), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["name", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["name", "n"])
 
     return _over_texts(docs, work, "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
 

@@ -162,9 +162,45 @@ def components(space: Workspace, edges: DataFrame, name: str) -> DataFrame:
     return roots.join(names, "root").select("node", "component")
 
 
-def known_small(frame: DataFrame, rows: int = 200_000) -> DataFrame:
-    """Marks a stored frame for broadcast if counting shows that it is small; leaves it to a shuffle otherwise."""
-    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+def _bytes_of(frame: DataFrame) -> Column:
+    """Bytes that a row's values take, for columns of plain types, structs of these and arrays of eight-byte values."""
+    sizes = []
+    for field in frame.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            sizes.append(F.octet_length(field.name))
+        elif kind == "array":
+            sizes.append(8 * F.greatest(F.size(field.name), F.lit(0)))
+        else:
+            sizes.append(F.lit(8 * len(getattr(field.dataType, "fields", [0]))))
+    return sum((F.coalesce(x, F.lit(0)).cast("bigint") for x in sizes), F.lit(0).cast("bigint"))
+
+
+def known_small(frame: DataFrame, rows: int = 200_000, size: int = 32 << 20) -> DataFrame:
+    """Marks a stored frame for broadcast if its rows and their bytes, counted, are few; leaves it to a shuffle otherwise."""
+    found = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_bytes_of(frame)), F.lit(0)).alias("size")).first()
+    return F.broadcast(frame) if found.rows <= rows and found.size <= size else frame
+
+
+def _open_bands(rows: DataFrame, turn: int, hubs: int) -> DataFrame:
+    """``(band, group_size, pairs, main, hubs)`` of the bands with more than one label: how many pairs are apart, and the largest label's hubs."""
+    orders = [F.min(F.struct(F.xxhash64(F.lit(turn * hubs + i), "node").alias("order"), "node")) for i in range(hubs)]
+    counted = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.array(*[o["node"] for o in orders]).alias("hubs"))
+    n = F.col("n").cast("double")
+    found = counted.groupBy("band").agg(
+        F.sum("n").alias("group_size"), F.sum(n * n).alias("together"), F.max(F.struct("n", "label", "hubs")).alias("main")
+    )
+    size = F.col("group_size").cast("double")
+    pairs = (size * size - F.col("together")) / 2
+    return found.where("group_size > main.n").select("band", "group_size", pairs.alias("pairs"), "main.label", "main.hubs")
+
+
+def _first_bands(rows: DataFrame) -> DataFrame:
+    """The same of bands in which each node is a label of its own, with one hub."""
+    hub = F.min(F.struct(F.xxhash64(F.lit(-1), "node").alias("order"), "node"))["node"]
+    found = rows.groupBy("band").agg(F.count(F.lit(1)).alias("group_size"), hub.alias("label"))
+    size = F.col("group_size").cast("double")
+    return found.where("group_size > 1").select("band", "group_size", (size * (size - 1) / 2).alias("pairs"), "label", F.array("label").alias("hubs"))
 
 
 def links_in_bands(
@@ -172,35 +208,36 @@ def links_in_bands(
     bands: DataFrame,
     confirmed: Callable[[DataFrame, str], DataFrame],
     apart: Callable[[DataFrame], DataFrame],
-    hub_rounds: int,
+    pairs_a_row: int = 4,
+    hubs: int = 4,
 ) -> DataFrame:
     """Links ``(a, b)`` between nodes that share a band; any further link joins nodes that these connect already.
 
-    ``bands(node, band)`` holds bands of two nodes or more. Each round takes a hub in every band that holds
-    more than one component yet, and has ``confirmed(pairs, name)`` compare it with the nodes not connected to it. The hub is
-    first in an order of all nodes, so bands of one group mostly agree on it. The links between what is
-    still apart after the rounds are found by ``apart(rows)`` from ``(band, node, label)``.
+    Each round takes, in every band that holds more than one component yet, ``hubs`` nodes of the largest one (one node at
+    first) and has ``confirmed(pairs, name)`` compare them with the nodes of the others. Hubs are first in orders of all
+    nodes, so bands of one group mostly agree on them. Rounds go on until the pairs still apart are at most ``pairs_a_row`` for
+    each row of ``bands``, or until a round connects less than a fiftieth of the rows it met. The links between
+    what is apart then, all of them, are found by ``apart(rows)`` from ``(band, node, label, group_size)``: rounds only make these few.
     """
-    labels = bands.select("node").distinct().withColumn("label", F.col("node"))
-    nodes, links = labels.select("node"), None
-    for turn in range(hub_rounds + 1):
-        labelled = bands.join(labels, "node")
-        open_bands = labelled.groupBy("band").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node", "label")).alias("hub"),
-        ).where("low < high").drop("low", "high")
-        if turn < hub_rounds:
-            met = labelled.join(open_bands, "band").where(F.col("label") != F.col("hub.label"))
-            pairs = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-            found = confirmed(pairs.distinct(), f"turn-{turn}")
-        else:
-            found = apart(labelled.join(open_bands.select("band"), "band"))
-        links = found if links is None else links.unionByName(found)
-        if turn < hub_rounds:
-            grouped = components(space, links, f"turn-{turn}")
-            labels = space.save(
-                nodes.join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("label")),
-                f"labels-{turn}",
-            )
-    return links
+    enough = pairs_a_row * bands.count()
+    rows, links, turn, met_rows, new_links = bands.withColumn("label", F.col("node")), None, 0, 0, 0
+    while True:
+        found = _open_bands(rows, turn, hubs) if turn else _first_bands(rows)
+        state = space.save(found, f"open-{turn}")
+        totals = state.agg(F.sum("pairs").alias("pairs"), F.sum("group_size").alias("rows")).first()
+        still = rows.join(state.select("band", "group_size"), "band")
+        if (totals.pairs or 0) <= enough or (turn and new_links * 50 < met_rows):
+            last = apart(still)
+            return last if links is None else links.unionByName(last)
+        met = rows.join(state.select("band", F.col("label").alias("main"), "hubs"), "band").where("label <> main")
+        pairs = met.select("node", F.explode(F.array_distinct("hubs")).alias("hub")).where("node <> hub")
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        new = confirmed(pairs, f"turn-{turn}")
+        new_links, met_rows = new.count(), totals.rows
+        links = new if links is None else links.unionByName(new)
+        grouped = components(space, links, f"turn-{turn}").withColumnRenamed("component", "joined")
+        rows = space.save(
+            still.drop("label", "group_size").join(grouped, "node", "left").select("band", "node", F.coalesce("joined", "node").alias("label")),
+            f"rows-{turn}",
+        )
+        turn += 1

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reecho.llm.common import components, free_name, known_small, links_in_bands, mixed, shingle_set, ship, text_key, with_row_id
+from reecho.operators.skew import block_pairs
 from reecho.workspace import Workspace
 
 
@@ -38,7 +39,6 @@ class NearDupParams:
     base: float = 1.001
     rate: float = 20.0
     limit: int = 65534
-    hub_rounds: int = 3
     seed: int = 7
 
 
@@ -259,31 +259,29 @@ def _links(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDu
     def apart(rows: DataFrame) -> DataFrame:
         return space.save(_confirmed(_apart_pairs(rows, reps, params), full, params), "apart")
 
-    return links_in_bands(space, bands, confirmed, apart, params.hub_rounds)
+    return links_in_bands(space, bands, confirmed, apart)
 
 
 def _apart_pairs(rows: DataFrame, reps: DataFrame, params: NearDupParams) -> DataFrame:
     """Pairs of one band that no link connects yet, all of them whose sketches are alike, each in its first common band.
 
-    The low four bits of two registers agree if the registers do, else in one case of sixteen. Four standard deviations
-    less than what the threshold leads to are asked for, inside the join.
+    The low four bits of two registers agree if the registers do, else in one case of sixteen. Six standard deviations
+    less than what the threshold leads to are asked for, inside the join: of links at the threshold one in 10^9 is missed.
     """
     agree = params.percent / 100 * 15 / 16 + 1 / 16
-    most = int(params.registers * (1 - agree) + 4 * (params.registers * agree * (1 - agree)) ** 0.5)
+    most = int(params.registers * (1 - agree) + 6 * (params.registers * agree * (1 - agree)) ** 0.5)
     described = reps.select(
-        F.col("set_key").alias("node"), "n_shingles", band_ids(F.col("registers"), params).alias("bands"),
-        "bits",
+        F.col("set_key").alias("node"), "n_shingles", band_ids(F.col("registers"), params).alias("bands"), "bits"
     )
-    side = rows.join(described, "node")
-    one = side.select("band", *[F.col(c).alias(f"{c}_1") for c in side.columns if c != "band"])
-    two = side.select("band", *[F.col(c).alias(f"{c}_2") for c in side.columns if c != "band"])
     differ = []
     for i in range(params.registers // 16):
         half = f"((bits_1[{i}] ^ bits_2[{i}]) | shiftrightunsigned(bits_1[{i}] ^ bits_2[{i}], 1))"
         differ.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & 1229782938247303441L)")
     sizes = F.least("n_shingles_1", "n_shingles_2") * 100 >= F.greatest("n_shingles_1", "n_shingles_2") * params.percent
     common = F.filter(F.zip_with("bands_1", "bands_2", lambda x, y: F.when(x == y, x)), lambda band: band.isNotNull())
-    alike = F.expr(f"{' + '.join(differ)} <= {most}")
-    return one.join(two, "band").where(
-        (F.col("label_1") < F.col("label_2")) & sizes & alike & (F.get(common, F.lit(0)) == F.col("band"))
-    ).select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b"))
+    alike = (F.col("label_1") != F.col("label_2")) & sizes & F.expr(f"{' + '.join(differ)} <= {most}")
+    pairs = block_pairs(
+        rows.join(described, "node"), ("band",), "node", carry=("label", "n_shingles", "bands", "bits"),
+        condition=alike & (F.get(common, F.lit(0)) == F.col("band")),
+    )
+    return pairs.select(F.col("node_1").alias("a"), F.col("node_2").alias("b"))

@@ -46,20 +46,29 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.doc_id = d.doc_id
 
 LINE_DEDUP = """
 WITH RECURSIVE cut AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, n, lines[n] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM cut)),
+l AS (
+  SELECT doc_id, n, lines[n] AS line, trim(regexp_replace(lines[n], '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ') AS plain
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM cut)),
 u AS (
-  SELECT row_number() OVER () AS id, line, f FROM (
-    SELECT line, min(struct_pack(d := doc_id, n := n)) AS f FROM l WHERE length(trim(line, ' ')) >= 20 GROUP BY line)),
-p AS (SELECT id, regexp_extract_all(trim(line, ' ') || ' ', '\\S{1,8}\\s*') AS p FROM u),
+  SELECT row_number() OVER () AS id, plain, f FROM (
+    SELECT plain, min(struct_pack(d := doc_id, n := n)) AS f FROM l WHERE plain <> '' GROUP BY plain)),
 s AS (
-  SELECT DISTINCT id, list_slice(p, k, k + 2) AS g
-  FROM (SELECT id, p, unnest(range(1, greatest(len(p) - 2, 1) + 1)) AS k FROM p)),
+  SELECT DISTINCT id, plain[k:k + 4] AS g
+  FROM (SELECT id, plain, unnest(range(1, greatest(length(plain) - 4, 1) + 1)) AS k FROM u)),
 c AS (SELECT id, count(*) AS n FROM s GROUP BY id),
-shared AS (SELECT x.id AS a, y.id AS b, count(*) AS n FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY ALL),
-link AS (SELECT a, b FROM shared JOIN c i ON i.id = a JOIN c j ON j.id = b WHERE 100 * shared.n >= 80 * (i.n + j.n - shared.n)),
+ordered AS (
+  SELECT id, g, n, row_number() OVER (PARTITION BY id ORDER BY spread, g) AS place
+  FROM s JOIN c USING (id) JOIN (SELECT g, count(*) AS spread FROM s GROUP BY g) USING (g)),
+prefix AS (SELECT * FROM ordered WHERE place <= n - (n * 80 + 99) // 100 + 1),
+near AS (
+  SELECT DISTINCT x.id AS a, y.id AS b FROM prefix x JOIN prefix y ON x.g = y.g AND x.id < y.id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+shared AS (SELECT a, b, count(*) AS n FROM near JOIN s x ON x.id = a JOIN s y ON y.id = b AND y.g = x.g GROUP BY ALL),
+half AS (SELECT a, b FROM shared JOIN c i ON i.id = a JOIN c j ON j.id = b WHERE 100 * shared.n >= 80 * (i.n + j.n - shared.n)),
+link AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach(a, b) AS (SELECT id, id FROM u UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
-kept AS (SELECT x.line, min(y.f) AS f FROM reach JOIN u x ON x.id = a JOIN u y ON y.id = b GROUP BY ALL),
-stay AS (SELECT l.doc_id, l.n, l.line, kept.f IS NULL OR (kept.f.d = l.doc_id AND kept.f.n = l.n) AS stays FROM l LEFT JOIN kept USING (line))
+kept AS (SELECT x.plain, min(y.f) AS f FROM reach JOIN u x ON x.id = a JOIN u y ON y.id = b GROUP BY ALL),
+stay AS (SELECT l.doc_id, l.n, l.line, kept.f IS NULL OR (kept.f.d = l.doc_id AND kept.f.n = l.n) AS stays FROM l LEFT JOIN kept USING (plain))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (stays), '')) AS text_sha256
 FROM stay GROUP BY doc_id

@@ -168,7 +168,24 @@ def test_fuzzy_lines_keep_the_first(spark):
     other = line.replace(WORDS[12], "different", 1)
     frame = spark.createDataFrame([(2, f"{other}\nown words of the second text here"), (1, line), (3, "short\nshort")], "doc_id bigint, text string")
     got = {r.doc_id: r.text for r in lines.dedup_lines(frame).collect()}
-    assert got == {1: line, 2: "own words of the second text here", 3: "short\nshort"}
+    assert got == {1: line, 2: "own words of the second text here", 3: "short"}
+
+
+def test_one_wrong_letter_is_found(spark):
+    lines_of = ["the city library opens its reading rooms to all visitors at nine o'clock", "the council will meet again on the second tuesday of the coming month"]
+    wrong = [lines_of[0].replace("library", "librery"), lines_of[1].replace("council", "councul")]
+    frame = spark.createDataFrame([(1, "\n".join(lines_of)), (2, "\n".join([*wrong, "", " \t", "and one of its own"]))], "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in lines.dedup_lines(frame).collect()} == {1: "\n".join(lines_of), 2: "\n \t\nand one of its own"}
+
+
+def test_large_groups_of_near_lines(spark):
+    """Many near copies, linked to some and not to others, in one band after another: the same groups as by comparing all."""
+    rng = random.Random(5)
+    base = [rng.choice(WORDS) for _ in range(40)]
+    texts = [" ".join(rng.choice(WORDS) if rng.random() < rng.choice([0.0, 0.03, 0.12]) else w for w in base) for _ in range(300)]
+    rows = list(enumerate(texts))
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(y.line_drops(rows))
 
 
 def test_pii_base_matches_plain_patterns(docs, rows, empty):

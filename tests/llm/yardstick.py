@@ -165,19 +165,22 @@ def unigrams(docs):
     ]
 
 
+def plain_line(line: str) -> str:
+    return re.sub(r"[ \t\n\x0B\f\r]+", " ", line).strip(" ")
+
+
 def line_shingles(line: str) -> set:
-    pieces = re.findall(r"\S{1,8}\s*", line.strip(" ") + " ")
-    return {tuple(pieces[i : i + 3]) for i in range(max(1, len(pieces) - 2))}
+    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
 
 
-def line_drops(docs, least: int = 20):
+def line_drops(docs):
     """``(doc_id, text)`` with repeated lines taken out."""
     order = lambda i, t, n: (i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest(), n)
     firsts: dict = {}
     for i, t in docs:
         for n, line in enumerate((t or "").split("\n") if t is not None else []):
-            if len(line.strip(" ")) >= least:
-                firsts[line] = min(firsts.get(line, (True, 1 << 62, "~", 0)), order(i, t, n))
+            if plain_line(line):
+                firsts[plain_line(line)] = min(firsts.get(plain_line(line), (True, 1 << 62, "~", 0)), order(i, t, n))
     names = list(firsts)
     sets, root = [line_shingles(x) for x in names], list(range(len(names)))
 
@@ -197,7 +200,7 @@ def line_drops(docs, least: int = 20):
     out = []
     for i, t in docs:
         left = None if t is None else "\n".join(
-            line for n, line in enumerate(t.split("\n")) if line not in keep or keep[line] == order(i, t, n)
+            line for n, line in enumerate(t.split("\n")) if not plain_line(line) or keep[plain_line(line)] == order(i, t, n)
         )
         out.append((i, left))
     return out

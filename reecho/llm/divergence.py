@@ -1,10 +1,12 @@
 """How the sources of a language differ in their words, in exact integers.
 
-A CountVectorizer with ``minDF`` and no bound on its vocabulary turns each document into an exact sparse vector of its
-language's terms; terms carry their language, so that one fit serves all languages. The driver and every executor hold a
-vocabulary, so its terms are counted first, and it is fitted in as many hash blocks of terms as keep each under a stated size. Vectors
-are summed by (language, source), entry by entry, and everything after reads these sums. A pair of sources is compared
-on the terms that either holds: a term that neither holds adds the same value each time, so it is multiplied out.
+A CountVectorizer with the largest integer as ``vocabSize`` turns each document into an exact sparse vector of its language's terms;
+terms carry their language, so that one model serves all languages. Its ``minDF`` is applied first, by a distributed count of
+each term's documents: a fit over whole documents would count them a second time and collect what it has not
+measured. The model is then fitted on the kept terms alone, in as many hash blocks as keep each vocabulary, which the
+driver and all executors hold, under a stated size. Vectors are summed by (language, source), entry by entry, and everything after reads
+these sums. A pair of sources is compared on the terms that either holds: a term that neither holds adds the same value
+each time, so it is multiplied out.
 
 Texts are cut into terms on Arrow batches, by whole arrays of bytes.
 """
@@ -18,16 +20,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reecho.llm.common import mixed, ship, span_hashes
+from reecho.llm.common import ship
 from reecho.workspace import Workspace
 
 GROUP = ["lang", "source"]
-BYTES_AT_ONCE = 4 << 20
 MARK = ":"  # no term holds it, so what follows the last one is the term
 
 # What a byte of a term becomes, 0 for bytes between terms: letters in lower case, and all of a character beyond ASCII.
@@ -68,21 +68,6 @@ class CutTexts:
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
 
-    def names(self, langs: pa.Array) -> np.ndarray:
-        """64-bit names of the terms, each of a language of its own."""
-        of_lang = langs.dictionary_encode()
-        spelt = [f"{MARK}{lang}".encode() for lang in of_lang.dictionary.to_pylist()]
-        keys = np.concatenate([span_hashes(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)])) for x in spelt])
-        names = keys[of_lang.indices.to_numpy(zero_copy_only=False)][self.owners()]
-        # hashing takes some forty bytes for each one, so a long text goes in parts
-        borders = np.searchsorted(self.starts, np.arange(0, len(self.low) + BYTES_AT_ONCE, BYTES_AT_ONCE))
-        for one, two in zip(borders, borders[1:]):
-            if one < two:
-                first = self.starts[one]
-                part = self.low[first : self.ends[two - 1]]
-                names[one:two] ^= span_hashes(part, self.starts[one:two] - first, self.ends[one:two] - first)
-        return mixed(names)
-
 
 def cut_terms(texts: pa.Array) -> CutTexts:
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -102,83 +87,86 @@ def cut_terms(texts: pa.Array) -> CutTexts:
     return CutTexts(np.searchsorted(starts, places), low, starts, ends)
 
 
-def _over_texts(docs: DataFrame, work: Callable[[list[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def _over_texts(docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, at_once: int) -> DataFrame:
+    """``work`` on pieces of batches whose texts take about ``at_once`` bytes. Nulls are empty strings."""
     ship(docs.sparkSession)
     filled = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*GROUP, "text")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = np.cumsum(sizes) // BYTES_AT_ONCE
-            borders = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(batch)]
-            yield from work([batch.slice(one, two - one) for one, two in zip(borders, borders[1:]) if one < two])
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+            borders = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // at_once)) + 1).tolist(), len(batch)]
+            for one, two in zip(borders, borders[1:]):
+                if one < two:
+                    yield work(batch.slice(one, two - one))
 
     return filled.mapInArrow(run, schema)
 
 
-def with_terms(docs: DataFrame, block: int = 0, blocks: int = 1) -> DataFrame:
-    """``(lang, source, terms)``: the terms of each text with their language in front, those of one hash block of ``blocks``."""
-
-    def work(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            cut, langs = cut_terms(part.column("text")), part.column("lang")
-            at, terms, owner = cut.at, cut.strings(), cut.owners()
-            if blocks > 1:
-                kept = np.flatnonzero(cut.names(langs) % np.uint64(blocks) == block)
-                terms, owner = terms.take(pa.array(kept)), owner[kept]
-                at = np.searchsorted(kept, at)
-            prefix = langs.cast(pa.large_string()).take(pa.array(owner))
-            named = pc.binary_join_element_wise(prefix, terms, pa.scalar(MARK, pa.large_string()))
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), named.cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([langs, part.column("source"), lists], [*GROUP, "terms"])
-
-    return _over_texts(docs, work, "lang string, source string, terms array<string>")
-
+def _named(langs: pa.Array, terms: pa.Array) -> pa.Array:
+    named = pc.binary_join_element_wise(langs.cast(pa.large_string()), terms, pa.scalar(MARK, pa.large_string()))
+    return named.cast(pa.string())
 
-def documents_of_terms(docs: DataFrame) -> DataFrame:
-    """``(name, n)``: in how many documents of its language a term is, by its 64-bit name; summed by batches before the shuffle."""
 
-    def work(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = [np.zeros(0, np.uint64)]
-        for part in parts:
-            cut = cut_terms(part.column("text"))
-            names = cut.names(part.column("lang"))
-            once += [np.unique(names[cut.at[k] : cut.at[k + 1]]) for k in range(len(part))]
-        found, n = np.unique(np.concatenate(once), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["name", "n"])
+def with_terms(docs: DataFrame) -> DataFrame:
+    """``(lang, source, terms)``: the terms of each text with their language in front."""
 
-    return _over_texts(docs, work, "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cut, langs = cut_terms(batch.column("text")), batch.column("lang")
+        named = _named(langs.take(pa.array(cut.owners())), cut.strings())
+        lists = pa.ListArray.from_arrays(pa.array(cut.at, pa.int32()), named)
+        return pa.RecordBatch.from_arrays([langs, batch.column("source"), lists], [*GROUP, "terms"])
 
+    return _over_texts(docs, work, "lang string, source string, terms array<string>", 4 << 20)
 
-def vocabulary_blocks(docs: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[int, list[int]]:
-    """Into how many hash blocks the terms go, and which of them hold any; none of them holds more than ``vocabulary`` terms.
 
-    Should two terms share a name, a block holds one term more than was counted.
-    """
-    kept = space.save(documents_of_terms(docs).where(F.col("n") >= params.min_docs).select("name"), "kept")
+def documents_of_terms(docs: DataFrame) -> DataFrame:
+    """``(term, n)``: in how many documents of its language a term is, the language in front; summed by batches before the shuffle."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cut, langs = cut_terms(batch.column("text")), batch.column("lang").dictionary_encode()
+        coded = cut.strings().dictionary_encode()
+        own = coded.indices.to_numpy(zero_copy_only=False)
+        once = [np.unique(own[cut.at[k] : cut.at[k + 1]]) for k in range(len(batch))]
+        lang = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), [len(x) for x in once])
+        n = np.bincount(lang * len(coded.dictionary) + np.concatenate(once))
+        pair = np.flatnonzero(n)
+        of_lang, of_term = np.divmod(pair, max(len(coded.dictionary), 1))
+        named = _named(langs.dictionary.take(pa.array(of_lang)), coded.dictionary.take(pa.array(of_term)))
+        return pa.RecordBatch.from_arrays([named, pa.array(n[pair], pa.int64())], ["term", "n"])
+
+    return _over_texts(docs, work, "term string, n bigint", 16 << 20).groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def kept_terms(docs: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[DataFrame, list[Column]]:
+    """The terms in enough documents, and conditions that cut them into blocks of at most ``vocabulary`` terms."""
+    kept = space.save(documents_of_terms(docs).where(F.col("n") >= params.min_docs).select("term"), "kept")
     blocks = 1
     while True:
-        # names are unsigned; blocks are powers of two, and so their remainders agree. As many rows as a vocabulary has blocks
-        sizes = dict(kept.groupBy(F.col("name").bitwiseAND(F.lit(blocks - 1)).alias("block")).count().collect())
+        block = F.pmod(F.xxhash64("term"), F.lit(blocks))
+        # as many rows as a vocabulary has blocks
+        sizes = dict(kept.groupBy(block.alias("block")).count().collect())
         if max(sizes.values(), default=0) <= params.vocabulary:
-            return blocks, sorted(sizes)
+            return kept, [block == b for b in sorted(sizes)]
         blocks *= 2
 
 
 def group_sums(docs: DataFrame, params: DivergenceParams, space: Workspace) -> DataFrame:
     """``(lang, source, term, count)`` of the kept terms, count > 0."""
-    blocks, filled = vocabulary_blocks(docs, params, space)
+    from pyspark.ml.feature import CountVectorizer
+
+    kept, blocks = kept_terms(docs, params, space)
     sums = None
-    for block in filled:
-        counter = CountVectorizer(minDF=params.min_docs, vocabSize=2**31 - 1, inputCol="terms", outputCol="vector")
-        named = with_terms(docs, block, blocks)
-        model = counter.fit(named)
+    for k, block in enumerate(blocks):
+        counter = CountVectorizer(vocabSize=2**31 - 1, inputCol="terms", outputCol="vector")
+        model = counter.fit(kept.where(block).select(F.array("term").alias("terms")))
         words = docs.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "at int, term string")
         vector = F.unwrap_udt("vector")
-        entries = model.transform(named).select(*GROUP, F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("e"))
+        # terms of other blocks are not in the model's vocabulary and leave no entry
+        entries = model.transform(with_terms(docs)).select(*GROUP, F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("e"))
         summed = entries.groupBy(*GROUP, F.col("e.indices").alias("at")).agg(F.sum(F.col("e.values").cast("bigint")).alias("count"))
         named_sums = summed.join(words, "at").select(*GROUP, F.substring_index("term", MARK, -1).alias("term"), "count")
-        stored = space.save(named_sums, f"sums-{block}")
+        stored = space.save(named_sums, f"sums-{k}")
         sums = stored if sums is None else sums.unionByName(stored)
     if sums is None:
         return docs.sparkSession.createDataFrame([], "lang string, source string, term string, count bigint")

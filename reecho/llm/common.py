@@ -183,61 +183,52 @@ def known_small(frame: DataFrame, rows: int = 200_000, size: int = 32 << 20) ->
 
 
 def _open_bands(rows: DataFrame, turn: int, hubs: int) -> DataFrame:
-    """``(band, group_size, pairs, main, hubs)`` of the bands with more than one label: how many pairs are apart, and the largest label's hubs."""
+    """``(band, group_size, label, hubs)`` of the bands with more than one label: the largest label and nodes of it."""
     orders = [F.min(F.struct(F.xxhash64(F.lit(turn * hubs + i), "node").alias("order"), "node")) for i in range(hubs)]
     counted = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.array(*[o["node"] for o in orders]).alias("hubs"))
-    n = F.col("n").cast("double")
-    found = counted.groupBy("band").agg(
-        F.sum("n").alias("group_size"), F.sum(n * n).alias("together"), F.max(F.struct("n", "label", "hubs")).alias("main")
-    )
-    size = F.col("group_size").cast("double")
-    pairs = (size * size - F.col("together")) / 2
-    return found.where("group_size > main.n").select("band", "group_size", pairs.alias("pairs"), "main.label", "main.hubs")
-
-
-def _first_bands(rows: DataFrame) -> DataFrame:
-    """The same of bands in which each node is a label of its own, with one hub."""
-    hub = F.min(F.struct(F.xxhash64(F.lit(-1), "node").alias("order"), "node"))["node"]
-    found = rows.groupBy("band").agg(F.count(F.lit(1)).alias("group_size"), hub.alias("label"))
-    size = F.col("group_size").cast("double")
-    return found.where("group_size > 1").select("band", "group_size", (size * (size - 1) / 2).alias("pairs"), "label", F.array("label").alias("hubs"))
+    found = counted.groupBy("band").agg(F.sum("n").alias("group_size"), F.max(F.struct("n", "label", "hubs")).alias("main"))
+    return found.where("group_size > main.n").select("band", "group_size", "main.label", "main.hubs")
 
 
 def links_in_bands(
     space: Workspace,
     bands: DataFrame,
-    confirmed: Callable[[DataFrame, str], DataFrame],
-    apart: Callable[[DataFrame], DataFrame],
-    pairs_a_row: int = 4,
+    close: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], Callable[[DataFrame, str], DataFrame]],
+    small: int = 64,
     hubs: int = 4,
 ) -> DataFrame:
     """Links ``(a, b)`` between nodes that share a band; any further link joins nodes that these connect already.
 
-    Each round takes, in every band that holds more than one component yet, ``hubs`` nodes of the largest one (one node at
-    first) and has ``confirmed(pairs, name)`` compare them with the nodes of the others. Hubs are first in orders of all
-    nodes, so bands of one group mostly agree on them. Rounds go on until the pairs still apart are at most ``pairs_a_row`` for
-    each row of ``bands``, or until a round connects less than a fiftieth of the rows it met. The links between
-    what is apart then, all of them, are found by ``apart(rows)`` from ``(band, node, label, group_size)``: rounds only make these few.
+    ``close(rows)`` takes ``(band, node, label, group_size)`` and gives the pairs ``(a, b)`` of one band and different labels that
+    sketches leave possible. ``prepare(nodes)`` readies the nodes that may occur in pairs and gives ``confirm(pairs, name)``, which
+    finds the links among pairs. Bands of at most ``small`` nodes give all their close pairs. In larger ones, rounds of hubs come first:
+    in every band that holds more than one component yet, nodes of its largest one are compared with those of the others.
+    Hubs are first in orders of all nodes, so bands of one group mostly agree on them. Rounds go on until nothing is
+    apart or a round links less than a fiftieth of the rows it met. What is apart then gives all its close pairs too: rounds
+    leave few of them.
     """
-    enough = pairs_a_row * bands.count()
-    rows, links, turn, met_rows, new_links = bands.withColumn("label", F.col("node")), None, 0, 0, 0
-    while True:
-        found = _open_bands(rows, turn, hubs) if turn else _first_bands(rows)
-        state = space.save(found, f"open-{turn}")
-        totals = state.agg(F.sum("pairs").alias("pairs"), F.sum("group_size").alias("rows")).first()
-        still = rows.join(state.select("band", "group_size"), "band")
-        if (totals.pairs or 0) <= enough or (turn and new_links * 50 < met_rows):
-            last = apart(still)
-            return last if links is None else links.unionByName(last)
-        met = rows.join(state.select("band", F.col("label").alias("main"), "hubs"), "band").where("label <> main")
-        pairs = met.select("node", F.explode(F.array_distinct("hubs")).alias("hub")).where("node <> hub")
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        new = confirmed(pairs, f"turn-{turn}")
-        new_links, met_rows = new.count(), totals.rows
-        links = new if links is None else links.unionByName(new)
+    sizes = space.save(bands.groupBy("band").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "band-sizes")
+    rows = bands.join(sizes, "band").withColumn("label", F.col("node"))
+    few = space.save(close(rows.where(F.col("group_size") <= small)).distinct(), "close-few")
+    rows = space.save(rows.where(F.col("group_size") > small).select("band", "node", "label"), "rows-large")
+    nodes = few.select(F.explode(F.array("a", "b")).alias("node")).unionByName(rows.select("node")).distinct()
+    confirm = prepare(space.save(nodes, "nodes"))
+    links, turn, linked = confirm(few, "few"), 0, True
+    while not rows.isEmpty():
         grouped = components(space, links, f"turn-{turn}").withColumnRenamed("component", "joined")
-        rows = space.save(
-            still.drop("label", "group_size").join(grouped, "node", "left").select("band", "node", F.coalesce("joined", "node").alias("label")),
-            f"rows-{turn}",
-        )
+        labelled = rows.join(grouped, "node", "left").select("band", "node", F.coalesce("joined", "label").alias("label"))
+        labelled = space.save(labelled, f"labelled-{turn}")
+        state = space.save(_open_bands(labelled, turn, hubs if turn else 1), f"open-{turn}")
+        still = labelled.join(state.select("band", "group_size"), "band")
+        if not linked:
+            return links.unionByName(confirm(space.save(close(still).distinct(), "close-last"), "last"))
+        met = labelled.join(state.select("band", F.col("label").alias("main"), "hubs"), "band").where("label <> main")
+        pairs = met.select("node", F.explode(F.array_distinct("hubs")).alias("hub"))
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        new = confirm(pairs, f"turn-{turn}")
+        linked = new.count() * 50 >= state.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("n")).first().n
+        links = links.unionByName(new)
+        rows = space.save(still.select("band", "node", F.col("node").alias("label")), f"rows-{turn}")
         turn += 1
+    return links

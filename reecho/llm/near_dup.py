@@ -249,17 +249,17 @@ def _links(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDu
     banded = reps.select("set_key", F.explode(band_ids(F.col("registers"), params)).alias("band"))
     crowded = banded.groupBy("band").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high")
     bands = space.save(banded.join(crowded.select("band"), "band").withColumnRenamed("set_key", "node"), "bands")
-    wanted = space.save(bands.select(F.col("node").alias("set_key")).distinct(), "wanted")
-    full = space.save(_full_sets(docs, sketches, wanted, params, space), "full")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        close = space.save(_estimated(pairs, reps, params), f"{name}-close")
-        return space.save(_confirmed(close, full, params), f"{name}-found")
+    def prepare(nodes: DataFrame):
+        full = space.save(_full_sets(docs, sketches, nodes.select(F.col("node").alias("set_key")), params, space), "full")
 
-    def apart(rows: DataFrame) -> DataFrame:
-        return space.save(_confirmed(_apart_pairs(rows, reps, params), full, params), "apart")
+        def confirm(pairs: DataFrame, name: str) -> DataFrame:
+            possible = space.save(_estimated(pairs, reps, params), f"{name}-close")
+            return space.save(_confirmed(possible, full, params), f"{name}-found")
 
-    return links_in_bands(space, bands, confirmed, apart)
+        return confirm
+
+    return links_in_bands(space, bands, lambda rows: _apart_pairs(rows, reps, params), prepare)
 
 
 def _apart_pairs(rows: DataFrame, reps: DataFrame, params: NearDupParams) -> DataFrame:

@@ -53,8 +53,8 @@ u AS (
   SELECT row_number() OVER () AS id, plain, f FROM (
     SELECT plain, min(struct_pack(d := doc_id, n := n)) AS f FROM l WHERE plain <> '' GROUP BY plain)),
 s AS (
-  SELECT DISTINCT id, plain[k:k + 4] AS g
-  FROM (SELECT id, plain, unnest(range(1, greatest(length(plain) - 4, 1) + 1)) AS k FROM u)),
+  SELECT DISTINCT id, plain[k:k + 6] AS g
+  FROM (SELECT id, plain, unnest(range(1, greatest(length(plain) - 6, 1) + 1)) AS k FROM u)),
 c AS (SELECT id, count(*) AS n FROM s GROUP BY id),
 ordered AS (
   SELECT id, g, n, row_number() OVER (PARTITION BY id ORDER BY spread, g) AS place

@@ -170,7 +170,7 @@ def plain_line(line: str) -> str:
 
 
 def line_shingles(line: str) -> set:
-    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+    return {line[i : i + 7] for i in range(max(1, len(line) - 6))}
 
 
 def line_drops(docs):

@@ -36,6 +36,11 @@ class Workspace:
         frame.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(_nullable(frame.schema)).parquet(self.path(name))
 
+    def drop(self) -> None:
+        """Removes the folder with all its tables."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)

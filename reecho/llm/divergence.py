@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reecho.llm.common import ship
+from reecho.llm.common import known_small, ship
 from reecho.workspace import Workspace
 
 GROUP = ["lang", "source"]
@@ -135,7 +135,7 @@ def documents_of_terms(docs: DataFrame) -> DataFrame:
         named = _named(langs.dictionary.take(pa.array(of_lang)), coded.dictionary.take(pa.array(of_term)))
         return pa.RecordBatch.from_arrays([named, pa.array(n[pair], pa.int64())], ["term", "n"])
 
-    return _over_texts(docs, work, "term string, n bigint", 16 << 20).groupBy("term").agg(F.sum("n").alias("n"))
+    return _over_texts(docs, work, "term string, n bigint", 8 << 20).groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def kept_terms(docs: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[DataFrame, list[Column]]:
@@ -191,34 +191,41 @@ def divergence(docs: DataFrame, params: DivergenceParams = DivergenceParams(), s
     """
     space = space or Workspace.of(docs.sparkSession, "divergence")
     sums = group_sums(docs, params, space)
-    groups, terms = _facts(docs, sums, params, space)
-    return _pairs(groups, terms, params).unionByName(_terms(terms, sums, params))
+    groups, langs, terms = _facts(docs, sums, params, space)
+    return _pairs(groups, langs, terms, params).unionByName(_terms(langs, terms, sums, params))
 
 
-def _facts(docs: DataFrame, sums: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[DataFrame, DataFrame]:
-    """``groups(lang, source, total, vocabulary, unseen)``, with the share of a term not there, and ``terms`` with their shares."""
+def _facts(docs: DataFrame, sums: DataFrame, params: DivergenceParams, space: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts of groups (with the share of a term that is not there) and of languages, and the terms with their shares.
+
+    Terms meet the facts of their group or language by broadcast if these are counted to be few.
+    """
     vocabulary = sums.groupBy("lang", "term").agg(F.lit(1)).groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"))
-    totals = sums.groupBy(*GROUP).agg(F.sum("count").alias("total"))
+    totals = sums.groupBy(*GROUP).agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("entries"))
     zero = F.lit(0).cast("bigint")
     groups = (
         docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in GROUP])
         .distinct()
         .join(totals, GROUP, "left")
         .join(vocabulary, "lang", "left")
-        .select(*GROUP, *[F.coalesce(c, zero).alias(c) for c in ("total", "vocabulary")])
+        .select(*GROUP, *[F.coalesce(c, zero).alias(c) for c in ("total", "entries", "vocabulary")])
     )
     unseen = F.when(F.col("vocabulary") > 0, share(zero, F.col("total"), F.col("vocabulary"), params))
     groups = space.save(groups.withColumn("unseen", unseen), "groups")
+    langs = groups.groupBy("lang").agg(
+        F.sum("total").alias("lang_total"), F.sum("entries").alias("entries"), F.count(F.lit(1)).alias("sources")
+    )
+    langs = known_small(space.save(langs, "langs"))
     shares = share(F.col("count"), F.col("total"), F.col("vocabulary"), params)
-    terms = sums.join(groups, GROUP).select(*GROUP, "term", "count", "vocabulary", "unseen", shares.alias("p"))
-    return groups, space.save(terms, "terms")
+    terms = sums.join(known_small(groups), GROUP).select(*GROUP, "term", "count", "vocabulary", "unseen", shares.alias("p"))
+    return groups, langs, space.save(terms, "terms")
 
 
 def _numbered(rows: DataFrame) -> Column:
     return F.row_number().over(W.partitionBy(*GROUP).orderBy(F.desc("value"), "item"))
 
 
-def _pairs(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> DataFrame:
+def _pairs(groups: DataFrame, langs: DataFrame, terms: DataFrame, params: DivergenceParams) -> DataFrame:
     """Distances of all ordered pairs of sources of a language.
 
     With u, v the shares of a term in neither source, a pair's distance is V*|u-v|, plus |p-v| - |u-v| for each
@@ -234,7 +241,7 @@ def _pairs(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> Dat
         *GROUP, "item", (F.col("n") * (gap("p", "v") - gap("u", "v"))).alias("part_value")
     )
     mirrored = one_side.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "part_value")
-    shared = _shared(groups, terms, params)
+    shared = _shared(langs, terms, params)
     sides = F.array(
         F.struct(F.col("source_1").alias("source"), F.col("source_2").alias("item")),
         F.struct(F.col("source_2").alias("source"), F.col("source_1").alias("item")),
@@ -245,19 +252,16 @@ def _pairs(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> Dat
     return summed.select(*GROUP, F.lit("pair").alias("part"), "item", "value", _numbered(summed).alias("rank"))
 
 
-def _shared(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> DataFrame:
+def _shared(langs: DataFrame, terms: DataFrame, params: DivergenceParams) -> DataFrame:
     """``(lang, source_1, source_2, part_value)`` for terms that both hold, source_1 < source_2.
 
     A task meets a share of a language's terms, with all their sources, and for each of at most ``sources_at_once`` of these adds up
     its differences to all others over the terms it holds.
     """
-    many = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
-    held = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("entries"))
     parts = lambda n, most: F.ceil(F.col(n) / F.lit(most)).cast("bigint")
-    sizes = many.join(held, "lang").select(
-        "lang", parts("entries", params.entries_at_once).alias("shares"), parts("sources", params.sources_at_once).alias("blocks")
-    )
-    dealt = terms.join(sizes, "lang").select(
+    sizes = terms.join(langs, "lang").withColumn("shares", parts("entries", params.entries_at_once))
+    sizes = sizes.withColumn("blocks", parts("sources", params.sources_at_once))
+    dealt = sizes.select(
         "lang", "source", "p", "unseen", F.xxhash64("term").alias("term"), "blocks",
         F.pmod(F.xxhash64("term"), F.col("shares")).alias("share"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
@@ -292,12 +296,11 @@ def _shared(groups: DataFrame, terms: DataFrame, params: DivergenceParams) -> Da
     return compared.groupBy("lang", "source_1", "source_2").agg(F.sum("part_value").alias("part_value"))
 
 
-def _terms(terms: DataFrame, sums: DataFrame, params: DivergenceParams) -> DataFrame:
+def _terms(langs: DataFrame, terms: DataFrame, sums: DataFrame, params: DivergenceParams) -> DataFrame:
     """The terms that a source has more of than its language; each task sends at most ``listed`` of a source."""
     whole = sums.groupBy("lang", "term").agg(F.sum("count").alias("all"))
-    total = sums.groupBy("lang").agg(F.sum("count").alias("total"))
-    met = terms.join(whole, ["lang", "term"]).join(total, "lang")
-    q = share(F.col("all"), F.col("total"), F.col("vocabulary"), params)
+    met = terms.join(whole, ["lang", "term"]).join(langs, "lang")
+    q = share(F.col("all"), F.col("lang_total"), F.col("vocabulary"), params)
     above = met.withColumn("value", F.col("p") - q).where("value > 0").withColumnRenamed("term", "item")
     ranked = above.withColumn("rank", _numbered(above)).where(F.col("rank") <= params.listed)
     return ranked.select(*GROUP, F.lit("term").alias("part"), "item", "value", "rank")

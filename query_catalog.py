@@ -30,6 +30,7 @@ from reecho.streaming.pairs import PairStream
 PARAMS = MatchParams()
 LONG_TEXT_WORDS = 50
 SAMPLE_ROWS = 500
+LAKE_AUTHOR = "src0"
 STREAM_FILES = 3
 RETENTION_SECONDS = 300.0
 # Fixed value: production time of document 0, in epoch seconds.
@@ -471,6 +472,60 @@ def lake_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_lake(spark, path).drop("ingested_at")
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
+    path = Workspace.of(spark, "lake").path("documents")
+    lake.write_lake(_messages(spark, sf_dir), path)
+    return lake.Lake.at(spark, path)
+
+
+@registered
+def lake_author_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One author's comments from the lake, those in a similar pair and the others."""
+    stored = _lake(spark, sf_dir)
+    paired = _match(spark, sf_dir).paired_documents()
+    found = [
+        reports.author_comments(stored, LAKE_AUTHOR, paired, similar, limit=None).select("doc_id", "text", F.lit(similar).alias("similar"))
+        for similar in (True, False)
+    ]
+    return found[0].unionByName(found[1])
+
+
+@registered
+def lake_pairs_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty most similar pairs within a language, with texts from the folders of their authors."""
+    listed = reports.similar_comments(
+        _match(spark, sf_dir, author="lang").top(reports.PAIR_LIMIT), _doc_users(spark, sf_dir)
+    )
+    return reports.with_texts(listed, _lake(spark, sf_dir), reports.PAIR_LIMIT)
+
+
+@registered
+def lake_dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the lines of files that another program left, and the times of arrival that their names give.
+
+    Every document is a line; after some of them follow a blank, a broken and a foreign one. Even ids carry a time of arrival.
+    """
+    sent = _messages(spark, sf_dir)
+    stamp = F.when(F.pmod("id", F.lit(2)) == 0, F.lit(float(EPOCH)))
+    row = F.to_json(F.struct("id", "text", "produced_at", stamp.alias("ingested_at"), "user_id"))
+    extra = {7: F.lit("  "), 11: F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(', "text": "no end')), 13: F.lit('{"other": 1}')}
+    lines = F.array(row, *[F.when(F.pmod("id", F.lit(n)) == 0, line) for n, line in extra.items()])
+    path = Workspace.of(spark, "dirty").path("documents")
+    lake.write_lines(sent.select(F.explode(F.array_compact(lines)).alias("value")), path, EPOCH)
+    stored = lake.Lake.at(spark, path)
+    kinds = ["document", "broken", "foreign", "blank", "from_name"]
+    totals = stored.accounts().agg(*[F.coalesce(F.sum(k), F.lit(0)).cast("bigint").alias(k) for k in kinds])
+    read = stored.documents().agg(F.count(F.lit(1)).alias("n"), F.sum("ingested_at").alias("arrivals"))
+    kept = stored.quarantine().agg(F.count(F.lit(1)).alias("n"))
+    rows = [
+        totals.unpivot([], kinds, "kind", "n"),
+        read.select(F.lit("read").alias("kind"), "n"),
+        read.select(F.lit("sum_of_arrivals").alias("kind"), F.col("arrivals").cast("bigint").alias("n")),
+        kept.select(F.lit("quarantined").alias("kind"), "n"),
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
 @registered
 def sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2."""

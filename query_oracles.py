@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from query_catalog import EPOCH, LONG_TEXT_WORDS, PARAMS, SAMPLE_ROWS
+from query_catalog import EPOCH, LAKE_AUTHOR, LONG_TEXT_WORDS, PARAMS, SAMPLE_ROWS
 
 SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 MENTION = r"@[\p{L}\p{N}_]+"
@@ -275,6 +275,19 @@ ORACLES = {
         f"SELECT doc_id AS id, text, source AS user_id, (doc_id + {EPOCH})::DOUBLE AS produced_at FROM documents",
     "lake_round_trip":
         f"SELECT doc_id AS id, text, (doc_id + {EPOCH})::DOUBLE AS produced_at, source AS user_id FROM documents",
+    "lake_author_comments": query(
+        docs(), lsh_pairs(),
+        select=f"""SELECT doc_id, text, doc_id IN (SELECT doc_id_1 FROM pairs UNION ALL SELECT doc_id_2 FROM pairs) AS similar
+                   FROM docs WHERE user_id = '{LAKE_AUTHOR}'""",
+    ),
+    "lake_dirty_lines": f"""SELECT 'document' AS kind, count(*) AS n FROM documents
+        UNION ALL SELECT 'read', count(*) FROM documents
+        UNION ALL SELECT 'broken', count(*) FROM documents WHERE doc_id % 11 = 0
+        UNION ALL SELECT 'foreign', count(*) FROM documents WHERE doc_id % 13 = 0
+        UNION ALL SELECT 'blank', count(*) FROM documents WHERE doc_id % 7 = 0
+        UNION ALL SELECT 'from_name', count(*) FROM documents WHERE doc_id % 2 = 1
+        UNION ALL SELECT 'sum_of_arrivals', CAST(count(*) * {EPOCH} AS BIGINT) FROM documents
+        UNION ALL SELECT 'quarantined', (SELECT count(*) FROM documents WHERE doc_id % 11 = 0) + (SELECT count(*) FROM documents WHERE doc_id % 13 = 0)""",
     "sample_head": f"SELECT doc_id, source AS user_id, text FROM documents ORDER BY doc_id LIMIT {SAMPLE_ROWS}",
     "stream_pairs": query(docs(), lsh_pairs(), select=f"SELECT {PAIR_COLUMNS} FROM pairs"),
     "stream_bounded_state": query(
@@ -291,3 +304,4 @@ ORACLES = {
                   FROM fine""",
     ),
 }
+ORACLES["lake_pairs_with_text"] = ORACLES["pairs_with_text"]

@@ -66,25 +66,48 @@ def test_kafka_options():
 
 
 def test_lake_round_trip_and_pruning(spark, sent, folder):
-    lake.write_lake(sent, folder)
-    read = lake.read_lake(spark, folder)
+    lake.write_lake(sent, folder, parts=8)
+    read = lake.read_lake(spark, folder, parts=8)
     assert sorted((r.id, r.text, r.user_id) for r in read.collect()) == sorted(
         (r.id, r.text, r.user_id) for r in sent.collect())
-    mine = lake.read_lake(spark, folder, "1001")
+    mine = lake.read_lake(spark, folder, "1001", parts=8)
     assert {r.user_id for r in mine.collect()} == {"1001"}
     plan = mine._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(user_id" in plan
+    assert "PartitionFilters: [isnotnull(part" in plan
+    folders = [name for name in os.listdir(folder) if "=" in name]
+    assert folders and all(name.startswith("part=") for name in folders) and len(folders) <= 8
 
 
-def test_lake_skips_what_it_cannot_read(spark, folder):
+def test_lake_opens_the_folders_of_listed_authors(spark, sent, folder):
+    lake.write_lake(sent, folder, parts=8)
+    stored = lake.Lake.at(spark, folder, 8)
+    authors = spark.createDataFrame([("1001",), ("1001",), (None,), ("nobody",)], "user_id string").repartition(2)
+    found = stored.of_authors(authors, 4)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in sent.collect() if r.user_id == "1001")
+
+
+def test_lake_accounts_for_what_it_cannot_read(spark, folder):
+    """A lake of one folder per author, with blank, broken and foreign lines and a file of another kind."""
     user = os.path.join(folder, "user_id=7")
     os.makedirs(user)
     with open(os.path.join(user, "1700000000_5_0.jsonl"), "w") as out:
-        out.write('{"id": 5, "text": "ok", "user_id": "7"}\n\n{broken\n')
+        out.write('{"id": 5, "text": "ok", "user_id": "7"}\n\n{broken\n{"id": 8, "text": "late", "ingested_at": 9.5}\n   \n{"name": 1}\n')
+        out.write('{"id": 9, "text": "a time that is none", "produced_at": "noon"}\n')
     with open(os.path.join(user, "notes.txt"), "w") as out:
         out.write('{"id": 6, "text": "foreign"}\n')
-    rows = lake.read_lake(spark, folder).collect()
-    assert [(r.id, r.user_id, r.ingested_at) for r in rows] == [(5, "7", 1700000000.0)]
+    stored = lake.Lake.at(spark, folder)
+    assert stored.parts is None
+    rows = sorted((r.id, r.user_id, r.ingested_at) for r in stored.documents().collect())
+    assert rows == [(5, "7", 1700000000.0), (8, "7", 9.5)]
+    assert [r.id for r in stored.of_author("7").orderBy("id").collect()] == [5, 8] and not stored.of_author("8").count()
+    authors = spark.createDataFrame([("7",)], "user_id string")
+    assert stored.of_authors(authors).count() == 2
+    assert [tuple(r) for r in stored.accounts().collect()] == [("1700000000_5_0.jsonl", 2, 2, 1, 2, 1)]
+    kept = sorted((r.kind, r.line) for r in stored.quarantine().collect())
+    assert kept == [
+        ("broken", '{"id": 9, "text": "a time that is none", "produced_at": "noon"}'), ("broken", "{broken"), ("foreign", '{"name": 1}'),
+    ]
 
 
 def test_batch_table_replaces_a_replayed_batch(spark, folder):

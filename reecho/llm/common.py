@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reecho.operators.skew import block_pairs
 from reecho.workspace import Workspace
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -146,10 +147,9 @@ def components(space: Workspace, edges: DataFrame, name: str) -> DataFrame:
             first.select("a", F.least(F.col("first"), rank(F.col("a")))["id"].alias("parent")), f"{name}-parent-{step}"
         )
         as_root = parent.select(F.col("a").alias("root"), "parent")
-        roots = space.save(
-            roots.join(as_root, "root", "left").select("node", F.coalesce("parent", "root").alias("root")),
-            f"{name}-roots-{step}",
-        )
+        roots = roots.join(as_root, "root", "left").select("node", F.coalesce("parent", "root").alias("root"))
+        if step % 4 == 3:
+            roots = space.save(roots, f"{name}-roots-{step}")
         moved = links.join(parent.withColumnRenamed("parent", "pa"), "a").join(
             parent.select(F.col("a").alias("b"), F.col("parent").alias("pb")), "b"
         )
@@ -190,45 +190,68 @@ def _open_bands(rows: DataFrame, turn: int, hubs: int) -> DataFrame:
     return found.where("group_size > main.n").select("band", "group_size", "main.label", "main.hubs")
 
 
-def links_in_bands(
+def _with_links(space: Workspace, groups: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``groups(node, component)`` after further links between their nodes, which are few: only the groups that these name are merged."""
+    of = lambda n: groups.select(F.col("node").alias(n), F.col("component").alias(f"group_{n}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
+    merged = components(space, between, name).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    found = groups.join(merged, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    return space.save(found, f"{name}-groups")
+
+
+def groups_in_bands(
     space: Workspace,
     bands: DataFrame,
-    close: Callable[[DataFrame], DataFrame],
+    sketched: Callable[[DataFrame], DataFrame],
+    sketch: tuple[str, ...],
+    alike: Column,
     prepare: Callable[[DataFrame], Callable[[DataFrame, str], DataFrame]],
     small: int = 64,
     hubs: int = 4,
 ) -> DataFrame:
-    """Links ``(a, b)`` between nodes that share a band; any further link joins nodes that these connect already.
+    """Connected components ``(node, component)`` of nodes that share a band and are linked; nodes that may stand alone can be missing.
 
-    ``close(rows)`` takes ``(band, node, label, group_size)`` and gives the pairs ``(a, b)`` of one band and different labels that
-    sketches leave possible. ``prepare(nodes)`` readies the nodes that may occur in pairs and gives ``confirm(pairs, name)``, which
-    finds the links among pairs. Bands of at most ``small`` nodes give all their close pairs. In larger ones, rounds of hubs come first:
+    ``sketched(rows)`` adds the columns ``sketch`` to rows with ``node`` and ``band``; ``alike`` says of their values ``_1`` and ``_2`` whether a
+    pair could link. ``prepare(nodes)`` readies the nodes that may occur in pairs and gives ``confirm(pairs, name)``, which
+    finds the links among pairs. Bands of at most ``small`` nodes give all their pairs that could link. In larger ones, rounds of hubs come first:
     in every band that holds more than one component yet, nodes of its largest one are compared with those of the others.
     Hubs are first in orders of all nodes, so bands of one group mostly agree on them. Rounds go on until nothing is
-    apart or a round links less than a fiftieth of the rows it met. What is apart then gives all its close pairs too: rounds
-    leave few of them.
+    apart or a round links less than a fiftieth of the rows it met. What is apart then gives all its pairs that could link, met in
+    cells: rounds leave few of them.
     """
-    sizes = space.save(bands.groupBy("band").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "band-sizes")
-    rows = bands.join(sizes, "band").withColumn("label", F.col("node"))
-    few = space.save(close(rows.where(F.col("group_size") <= small)).distinct(), "close-few")
-    rows = space.save(rows.where(F.col("group_size") > small).select("band", "node", "label"), "rows-large")
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    sizes = space.save(sizes, "band-sizes")
+    few = known_small(sizes.where(F.col("group_size") <= small).select("band"), 1_000_000)
+    rows = sketched(bands.join(few, "band"))
+    one, two = (rows.select("band", *[F.col(c).alias(f"{c}_{n}") for c in ("node", *sketch)]) for n in (1, 2))
+    met = one.join(two, "band").where((F.col("node_1") < F.col("node_2")) & alike)
+    few = space.save(met.select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct(), "close-few")
+    large = sizes.where(F.col("group_size") > small).select("band")
+    rows = space.save(bands.join(known_small(large), "band").select("band", "node"), "rows-large")
     nodes = few.select(F.explode(F.array("a", "b")).alias("node")).unionByName(rows.select("node")).distinct()
-    confirm = prepare(space.save(nodes, "nodes"))
-    links, turn, linked = confirm(few, "few"), 0, True
-    while not rows.isEmpty():
-        grouped = components(space, links, f"turn-{turn}").withColumnRenamed("component", "joined")
-        labelled = rows.join(grouped, "node", "left").select("band", "node", F.coalesce("joined", "label").alias("label"))
-        labelled = space.save(labelled, f"labelled-{turn}")
+    nodes = space.save(nodes, "nodes")
+    confirm = prepare(nodes)
+    linked = components(space, confirm(few, "few"), "few")
+    groups = space.save(nodes.join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "few-groups")
+    turn, more = 0, not rows.isEmpty()
+    while more:
+        labelled = space.save(rows.join(groups, "node").withColumnRenamed("component", "label"), f"labelled-{turn}")
         state = space.save(_open_bands(labelled, turn, hubs if turn else 1), f"open-{turn}")
-        still = labelled.join(state.select("band", "group_size"), "band")
-        if not linked:
-            return links.unionByName(confirm(space.save(close(still).distinct(), "close-last"), "last"))
         met = labelled.join(state.select("band", F.col("label").alias("main"), "hubs"), "band").where("label <> main")
         pairs = met.select("node", F.explode(F.array_distinct("hubs")).alias("hub"))
         pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         new = confirm(pairs, f"turn-{turn}")
-        linked = new.count() * 50 >= state.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("n")).first().n
-        links = links.unionByName(new)
-        rows = space.save(still.select("band", "node", F.col("node").alias("label")), f"rows-{turn}")
+        found = new.count()
+        if found:
+            groups = _with_links(space, groups, new, f"turn-{turn}")
+        rows = space.save(labelled.join(state.select("band", "group_size"), "band").select("band", "node", "group_size"), f"rows-{turn}")
+        left = rows.count()
+        more = left > 0 and found * 50 >= left
         turn += 1
-    return links
+        if left and not more:
+            still = sketched(rows.join(groups.withColumnRenamed("component", "label"), "node"))
+            differ = (F.col("label_1") != F.col("label_2")) & alike
+            pairs = block_pairs(still, ("band",), "node", carry=("label", *sketch), condition=differ)
+            pairs = space.save(pairs.select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct(), "close-last")
+            groups = _with_links(space, groups, confirm(pairs, "last"), "last")
+    return groups

@@ -22,8 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reecho.llm.common import components, free_name, known_small, links_in_bands, mixed, shingle_set, ship, text_key, with_row_id
-from reecho.operators.skew import block_pairs
+from reecho.llm.common import free_name, groups_in_bands, known_small, mixed, shingle_set, ship, text_key, with_row_id
 from reecho.workspace import Workspace
 
 
@@ -204,8 +203,7 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams(), sp
     sets = sketches.where("set_key is not null").select("set_key", "n_shingles", "registers", "bits")
     first = [F.first(c).alias(c) for c in ("registers", "bits")]
     reps = space.save(sets.groupBy("set_key", "n_shingles").agg(*first), "reps")
-    edges = _links(docs, sketches, reps, params, space)
-    found = space.save(components(space, edges, "links"), "components")
+    found = _groups(docs, sketches, reps, params, space)
     named = (
         sketches.drop("registers", "bits")
         .join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
@@ -244,8 +242,8 @@ def keep_representatives(docs: DataFrame, params: NearDupParams = NearDupParams(
     return once.select(*docs.columns)
 
 
-def _links(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDupParams, space: Workspace) -> DataFrame:
-    """Confirmed links ``(a, b)`` of set keys; any further link joins sets that these connect already."""
+def _groups(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDupParams, space: Workspace) -> DataFrame:
+    """Connected components ``(node, component)`` of set keys with links."""
     banded = reps.select("set_key", F.explode(band_ids(F.col("registers"), params)).alias("band"))
     crowded = banded.groupBy("band").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high")
     bands = space.save(banded.join(crowded.select("band"), "band").withColumnRenamed("set_key", "node"), "bands")
@@ -259,29 +257,24 @@ def _links(docs: DataFrame, sketches: DataFrame, reps: DataFrame, params: NearDu
 
         return confirm
 
-    return links_in_bands(space, bands, lambda rows: _apart_pairs(rows, reps, params), prepare)
+    described = reps.select(F.col("set_key").alias("node"), "n_shingles", band_ids(F.col("registers"), params).alias("bands"), "bits")
+    return groups_in_bands(
+        space, bands, lambda rows: rows.join(described, "node"), ("n_shingles", "bands", "bits"), _could_be_alike(params), prepare
+    )
 
 
-def _apart_pairs(rows: DataFrame, reps: DataFrame, params: NearDupParams) -> DataFrame:
-    """Pairs of one band that no link connects yet, all of them whose sketches are alike, each in its first common band.
+def _could_be_alike(params: NearDupParams) -> Column:
+    """Whether sizes and the low four bits of the registers leave a pair possible, asked in the pair's first common band only.
 
     The low four bits of two registers agree if the registers do, else in one case of sixteen. Six standard deviations
-    less than what the threshold leads to are asked for, inside the join: of links at the threshold one in 10^9 is missed.
+    less than what the threshold leads to are asked for: of links at the threshold one in 10^9 is missed.
     """
     agree = params.percent / 100 * 15 / 16 + 1 / 16
     most = int(params.registers * (1 - agree) + 6 * (params.registers * agree * (1 - agree)) ** 0.5)
-    described = reps.select(
-        F.col("set_key").alias("node"), "n_shingles", band_ids(F.col("registers"), params).alias("bands"), "bits"
-    )
     differ = []
     for i in range(params.registers // 16):
         half = f"((bits_1[{i}] ^ bits_2[{i}]) | shiftrightunsigned(bits_1[{i}] ^ bits_2[{i}], 1))"
         differ.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & 1229782938247303441L)")
     sizes = F.least("n_shingles_1", "n_shingles_2") * 100 >= F.greatest("n_shingles_1", "n_shingles_2") * params.percent
     common = F.filter(F.zip_with("bands_1", "bands_2", lambda x, y: F.when(x == y, x)), lambda band: band.isNotNull())
-    alike = (F.col("label_1") != F.col("label_2")) & sizes & F.expr(f"{' + '.join(differ)} <= {most}")
-    pairs = block_pairs(
-        rows.join(described, "node"), ("band",), "node", carry=("label", "n_shingles", "bands", "bits"),
-        condition=alike & (F.get(common, F.lit(0)) == F.col("band")),
-    )
-    return pairs.select(F.col("node_1").alias("a"), F.col("node_2").alias("b"))
+    return sizes & F.expr(f"{' + '.join(differ)} <= {most}") & (F.get(common, F.lit(0)) == F.col("band"))

@@ -24,13 +24,15 @@ from reecho.plans.matching import Matching, prepare
 from reecho.sources import comments, lake, messages
 from reecho.sources.tables import SCHEMAS as TABLES
 from reecho.streaming.joins import pair_events
-from reecho.streaming.metrics import AuthorCounters, WorkerWindows, worker_windows
+from reecho.streaming.metrics import AuthorCounters, ProgressLog, WorkerWindows, worker_windows
 from reecho.streaming.pairs import PairStream
+from reecho.streaming.recent import STATE_STORE, newest_pairs
 
 PARAMS = MatchParams()
 LONG_TEXT_WORDS = 50
 SAMPLE_ROWS = 500
 LAKE_AUTHOR = "src0"
+STATE_NEWEST, STATE_SHARDS = 3, 4
 STREAM_FILES = 3
 RETENTION_SECONDS = 300.0
 # Fixed value: production time of document 0, in epoch seconds.
@@ -231,10 +233,10 @@ def spammers_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def spammers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report from stored pair, document and statistics tables."""
+    """The report for authors of a stored document table, from pairs within languages, which are counted and not built."""
     doc_users = _doc_users(spark, sf_dir)
-    pairs = _match(spark, sf_dir, author="lang").pairs()
-    return reports.spammers_from_pairs(pairs, doc_users, tables.comment_counts(doc_users), min_rate=0.0)
+    counts = _match(spark, sf_dir, author="lang").own_pair_counts(doc_users)
+    return _plain_counts(reports.spammers(tables.comment_counts(doc_users), counts, min_rate=0.0))
 
 
 @registered
@@ -265,9 +267,8 @@ def top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def user_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs per author where both documents are known and of one author."""
-    pairs = _match(spark, sf_dir, author="lang").pairs()
-    return tables.author_pair_counts(pairs, _labelled(spark, sf_dir, "lang"))
+    """Pairs per author where both documents are known and of one author, counted and not built."""
+    return _plain_counts(_match(spark, sf_dir, author="lang").own_pair_counts(_labelled(spark, sf_dir, "lang")))
 
 
 @registered
@@ -582,6 +583,46 @@ def stream_joined_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(out)
 
 
+@registered
+def stream_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5: each document against the newest ones of its author, ``STATE_NEWEST`` in each of ``STATE_SHARDS`` shards.
+
+    The topic's files are written one after the other, as what state of bounded size finds depends on the order of arrival.
+    """
+    workspace = Workspace.of(spark, "stream")
+    sent = _messages(spark, sf_dir)
+    low, high = sent.agg(F.min("id"), F.max("id")).first()
+    width = (high - low) // STREAM_FILES + 1
+    for n in range(STREAM_FILES):
+        messages.write_topic_files(sent.where(F.floor((F.col("id") - low) / width) == n), workspace.path(f"topic/{n}"), 1)
+    timed = messages.with_event_time(messages.read_topic_files(spark, workspace.path("topic/*")))
+    out, before = workspace.path("pairs"), {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        found = newest_pairs(timed, PARAMS, STATE_NEWEST, STATE_SHARDS, retention=1e9)
+        found.writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", workspace.path("checkpoint")
+        ).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return spark.read.schema(found.schema).parquet(out)
+
+
+@registered
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST10: batches and messages of a stream that is stopped and started again, from the stored counters."""
+    workspace = Workspace.of(spark, "stream")
+    counters = AuthorCounters(spark, workspace.path("counts"))
+    topic = _topic(spark, sf_dir, workspace)
+    for _ in range(2):
+        log = ProgressLog(spark, workspace.path("progress"))
+        query = topic.writeStream.foreachBatch(log.logged(counters.process)).option("checkpointLocation", workspace.path("checkpoint"))
+        query.trigger(availableNow=True).start().awaitTermination()
+    return log.totals().select("batches", "messages", "with_text")
+
+
 @registered
 def stream_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST9, A6."""

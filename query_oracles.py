@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from query_catalog import EPOCH, LAKE_AUTHOR, LONG_TEXT_WORDS, PARAMS, SAMPLE_ROWS
+from query_catalog import EPOCH, LAKE_AUTHOR, LONG_TEXT_WORDS, PARAMS, SAMPLE_ROWS, STATE_NEWEST, STATE_SHARDS, STREAM_FILES
 
 SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 MENTION = r"@[\p{L}\p{N}_]+"
@@ -295,6 +295,14 @@ ORACLES = {
     ),
     "stream_replay": query(docs(), lsh_pairs(), select=f"SELECT {PAIR_COLUMNS} FROM pairs"),
     "stream_joined_pairs": query(docs(), lsh_pairs(), select=f"SELECT {PAIR_COLUMNS} FROM pairs"),
+    "stream_keyed_state": query(
+        docs(), exact_pairs(),
+        "placed AS (SELECT DISTINCT user_id, doc_id FROM sh)",
+        select=f"""SELECT {PAIR_COLUMNS} FROM exact e WHERE (
+                     SELECT count(*) FROM placed z WHERE z.user_id = e.user_id AND z.doc_id % {STATE_SHARDS} = e.doc_id_1 % {STATE_SHARDS}
+                       AND z.doc_id > e.doc_id_1 AND z.doc_id < e.doc_id_2) < {STATE_NEWEST}""",
+    ),
+    "stream_progress": f"SELECT {STREAM_FILES}::BIGINT AS batches, count(*) AS messages, count(text) AS with_text FROM documents",
     "stream_user_counts": "SELECT source AS user_id, count(*) AS total_comments FROM documents GROUP BY ALL",
     "stream_worker_windows": query(
         SEEN, intervals("fine", 10),

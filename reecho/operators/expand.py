@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reecho.functions.scores import wide
+from reecho.functions.scores import possible_pairs, wide
 from reecho.operators.skew import BLOCK_ROWS, block_of, block_pairs, blocks_of, broadcast_if_bounded
 
 
@@ -93,6 +93,22 @@ def author_pair_counts(set_pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.groupBy("user_id").agg(F.sum("pairs").cast("decimal(38,0)").alias("similar_pairs"))
 
 
+def own_pair_counts(set_pairs: DataFrame, members: DataFrame, doc_users: DataFrame) -> DataFrame:
+    """``(user_id, similar_pairs)``: pairs whose documents are both in ``doc_users``, there of one author, without building them.
+
+    Sets and pairs may be of a wider scope than an author. An author's documents are counted by set; a pair of sets
+    stands for the products of these counts, a set for the pairs among its own copies.
+    """
+    held = members.select("doc_id", "rep_id").join(doc_users.select("doc_id", "user_id"), "doc_id")
+    counts = held.groupBy("rep_id", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    side = lambda n: counts.select(F.col("rep_id").alias(f"rep_id_{n}"), "user_id", wide(F.col("n")).alias(f"n_{n}"))
+    met = set_pairs.select("rep_id_1", "rep_id_2").join(side(1), "rep_id_1").join(side(2), ["rep_id_2", "user_id"])
+    across = met.select("user_id", (F.col("n_1") * F.col("n_2")).alias("pairs"))
+    inside = counts.where("n > 1").select("user_id", possible_pairs(F.col("n")).alias("pairs"))
+    both = across.unionByName(inside)
+    return both.groupBy("user_id").agg(F.sum("pairs").cast("decimal(38,0)").alias("similar_pairs"))
+
+
 def paired_sets(set_pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``rep_id`` of every set with a similar partner, another set or a copy."""
     partners = set_pairs.select(F.explode(F.array("rep_id_1", "rep_id_2")).alias("rep_id"))

@@ -47,6 +47,10 @@ class Matching:
     def author_pair_counts(self) -> DataFrame:
         return expand.author_pair_counts(self.set_pairs, self.sets)
 
+    def own_pair_counts(self, doc_users: DataFrame) -> DataFrame:
+        """Pairs of each author of ``doc_users``, who may be another one than the scope of the matching."""
+        return expand.own_pair_counts(self.set_pairs, self.members(), doc_users)
+
     def paired_documents(self) -> DataFrame:
         """``(doc_id, user_id)`` of the documents with at least one similar partner."""
         paired = expand.paired_sets(self.set_pairs, self.sets)

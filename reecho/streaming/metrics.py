@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reecho.functions.scores import latency_ms
 from reecho.operators.latency import INTERVAL_SECONDS, interval_stats
-from reecho.schemas import BIGINT, STRING, record
+from reecho.schemas import BIGINT, DOUBLE, STRING, record
 from reecho.sources.tables import BatchTable
 
 
@@ -80,13 +83,16 @@ class AuthorCounters:
 
 
 PROGRESS = "progress"
+COUNTERS = record(messages=BIGINT, with_text=BIGINT, seconds=DOUBLE)
+
+
+def _counters() -> list:
+    return [F.count(F.lit(1)).alias("messages"), F.count("text").alias("with_text")]
 
 
 def with_progress(messages: DataFrame) -> DataFrame:
     """Counts each batch's messages while it runs; read the totals with ``progress_counts``."""
-    return messages.observe(
-        PROGRESS, F.count(F.lit(1)).alias("messages"), F.count("text").alias("with_text")
-    )
+    return messages.observe(PROGRESS, *_counters())
 
 
 def progress_counts(query: StreamingQuery) -> dict[str, int]:
@@ -98,3 +104,30 @@ def progress_counts(query: StreamingQuery) -> dict[str, int]:
             for name in totals:
                 totals[name] += observed[name] or 0
     return totals
+
+
+class ProgressLog:
+    """Progress counters that outlive the query: one row per batch, replaced when the batch runs again.
+
+    ``logged(process)`` wraps what a query does with a batch. The batch is counted while ``process`` reads it, and the row is written after it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.batches = BatchTable(spark, path, COUNTERS)
+
+    def logged(self, process: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+        def run(messages: DataFrame, batch_id: int) -> None:
+            counted, began = Observation(f"{PROGRESS}-{batch_id}"), time.monotonic()
+            process(messages.observe(counted, *_counters()), batch_id)
+            seen = counted.get
+            row = (seen["messages"], seen["with_text"], time.monotonic() - began)
+            self.batches.write(self.spark.createDataFrame([row], COUNTERS), batch_id)
+
+        return run
+
+    def totals(self) -> DataFrame:
+        """One row: ``batches``, ``messages``, ``with_text``, ``seconds``, and ``messages_per_second`` while batches ran."""
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS.fieldNames()]
+        total = self.batches.read().agg(F.count(F.lit(1)).alias("batches"), *sums)
+        return total.withColumn("messages_per_second", F.when(F.col("seconds") > 0, F.col("messages") / F.col("seconds")))

@@ -1,11 +1,13 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from brute import as_dict, similar_pairs
 from reecho import MatchParams, find_pairs
-from reecho.operators import documents, expand, skew
+from reecho.operators import documents, exact, expand, skew, verify
 from reecho.plans import reports
+from reecho.plans.matching import prepare
 
 WORDS = [f"w{i}" for i in range(60)]
 
@@ -41,6 +43,27 @@ def test_exact_join_finds_every_pair(docs, rows, threshold):
     assert as_dict(matching.pairs()) == similar_pairs(rows, threshold)
 
 
+def test_both_ways_of_the_exact_join_hold_every_pair(spark, docs, rows):
+    for threshold in (0.15, 0.5, 0.8):
+        _, sets = prepare(docs, MatchParams(threshold=threshold))
+        wanted = {(r.rep_id_1, r.rep_id_2) for r in verify.verify_pairs(exact.prefix_candidates(sets, threshold), sets, threshold).collect()}
+        cells = exact.cell_candidates(sets, threshold)
+        assert wanted and cells.count() == cells.distinct().count()
+        assert {(r.rep_id_1, r.rep_id_2) for r in verify.verify_pairs(cells, sets, threshold).collect()} == wanted
+
+
+def test_pairs_of_authors_are_counted_without_them(spark):
+    """A hundred thousand copies of one text, five billion pairs, by two authors, and a near copy."""
+    copies = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.lit("wide").alias("user_id"), F.when(F.col("id") == 0, "one two three five").otherwise("one two three four").alias("text")
+    )
+    doc_users = copies.select("doc_id", F.when(F.col("doc_id") % 10 == 0, "few").otherwise("many").alias("user_id")).where("doc_id <> 20")
+    matching = find_pairs(copies, MatchParams(threshold=0.5))
+    got = {r.user_id: int(r.similar_pairs) for r in matching.own_pair_counts(doc_users).collect()}
+    # 0 is the near copy (3 of 5 words), 20 is unknown
+    assert got == {"few": 9_998 * 9_997 // 2 + 9_998, "many": 90_000 * 89_999 // 2}
+
+
 def test_exact_join_with_two_word_shingles(docs, rows):
     matching = find_pairs(docs, MatchParams(shingle_size=2), "exact")
     assert as_dict(matching.pairs()) == similar_pairs(rows, 0.15, 2)

@@ -235,7 +235,8 @@ def groups_in_bands(
     groups = space.save(nodes.join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "few-groups")
     turn, more = 0, not rows.isEmpty()
     while more:
-        labelled = space.save(rows.join(groups, "node").withColumnRenamed("component", "label"), f"labelled-{turn}")
+        labelled = rows.select("band", "node").join(groups.withColumnRenamed("component", "label"), "node")
+        labelled = space.save(labelled, f"labelled-{turn}")
         state = space.save(_open_bands(labelled, turn, hubs if turn else 1), f"open-{turn}")
         met = labelled.join(state.select("band", F.col("label").alias("main"), "hubs"), "band").where("label <> main")
         pairs = met.select("node", F.explode(F.array_distinct("hubs")).alias("hub"))

@@ -455,6 +455,34 @@ def test_repeats_follow_the_contract(docs, rows):
     assert got != pairs(rows)
 
 
+def test_groups_in_bands_over_several_rounds(spark):
+    """Chains inside large bands, where a hub links few: the components of comparing all, whatever the rounds."""
+    from reecho.llm.common import groups_in_bands
+    from reecho.workspace import Workspace
+
+    bands = [(n, n % 3) for n in range(200)] + [(n, 10 + n // 40) for n in range(200)] + [(n, 99) for n in range(150)] + [(300, 7), (301, 7), (302, 8)]
+    for gap, hubs in ((3, 1), (40, 2), (100, 4)):
+        frame = spark.createDataFrame(bands, "node bigint, band bigint").repartition(3)
+
+        def prepare(nodes, gap=gap):
+            return lambda pairs, name: pairs.where(F.abs(F.col("a") - F.col("b")) % gap == 0)
+
+        found = groups_in_bands(Workspace.of(spark, "bands"), frame, lambda rows: rows, (), F.lit(True), prepare, small=10, hubs=hubs)
+        got = {r.node: r.component for r in found.collect()}
+        parent = {n: n for n, _ in bands}
+
+        def root(n, parent=parent):
+            while parent[n] != n:
+                n = parent[n]
+            return n
+
+        for a, x in bands:
+            for b, z in bands:
+                if x == z and a != b and abs(a - b) % gap == 0:
+                    parent[max(root(a), root(b))] = min(root(a), root(b))
+        assert all(got.get(n, n) == root(n) for n in parent)
+
+
 def test_components_name_the_least_node(spark):
     from reecho.llm.common import components
     from reecho.workspace import Workspace

@@ -23,7 +23,8 @@ from reecho.plans import reports
 from reecho.plans.matching import Matching, prepare
 from reecho.sources import comments, lake, messages
 from reecho.sources.tables import SCHEMAS as TABLES
-from reecho.streaming.joins import pair_events
+from reecho.sources.tables import SnapshotTables
+from reecho.streaming.joins import pair_events, shingle_events
 from reecho.streaming.metrics import AuthorCounters, ProgressLog, WorkerWindows, worker_windows
 from reecho.streaming.pairs import PairStream
 from reecho.streaming.recent import STATE_STORE, newest_pairs
@@ -178,7 +179,8 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = lsh.candidate_pairs(lsh.band_rows(lsh.signatures(sets, PARAMS), PARAMS))
     for n in (1, 2):
         pairs = pairs.join(_set_facts(sets, n), f"rep_id_{n}")
-    unscored = pairs.select(
+    # bucket ids are hashes of the author and a band; the author is asked for as well
+    unscored = pairs.where("user_1 = user_2").select(
         F.col("user_1").alias("user_id"), "rep_id_1", "rep_id_2", "copies_1", "copies_2", F.lit(0.0).alias("similarity")
     )
     return expand.expand_pairs(unscored, docs_op.members(shingled, sets)).select("user_id", "doc_id_1", "doc_id_2")
@@ -350,11 +352,40 @@ def stats_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U10 on tables with replayed documents and reversed pairs."""
-    doc_users = _doc_users(spark, sf_dir).unionByName(_labelled(spark, sf_dir, "source"))
+    """U10 on tables with replayed documents and authors, reversed and repeated pairs, and nulls, so that every rule counts some."""
+    labelled = _labelled(spark, sf_dir, "source")
+    unknown = labelled.where(F.pmod("doc_id", F.lit(5)) == 0).withColumn("user_id", F.lit(None).cast("string"))
+    doc_users = _doc_users(spark, sf_dir).unionByName(labelled).unionByName(unknown)
     pairs = _match(spark, sf_dir, author="lang").pairs().select("doc_id_1", "doc_id_2", "similarity")
     reverse = pairs.select(F.col("doc_id_2").alias("doc_id_1"), F.col("doc_id_1").alias("doc_id_2"), "similarity")
-    return tables.integrity_violations(doc_users, pairs.unionByName(reverse), tables.rebuild_stats(doc_users), 0.5)
+    again = pairs.where(F.pmod("doc_id_1", F.lit(3)) == 0)
+    unscored = pairs.where(F.pmod("doc_id_1", F.lit(4)) == 0).withColumn("similarity", F.lit(None).cast("double"))
+    stats = tables.rebuild_stats(doc_users)
+    twice = stats.where(F.col("user_id") < "src2")
+    return tables.integrity_violations(
+        doc_users, pairs.unionByName(reverse).unionByName(again).unionByName(unscored), stats.unionByName(twice), 0.5
+    )
+
+
+@registered
+def table_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of the labelled documents are stored, read, brought up to date with all documents, stored and read again."""
+    workspace = Workspace.of(spark, "tables")
+    store = SnapshotTables(spark, workspace.path("store"))
+    pairs = workspace.save(_match(spark, sf_dir).pairs().select(*tables.PAIR_KEYS, "similarity"), "pairs")
+    known = store.write("doc_users", _labelled(spark, sf_dir, "source"), 1)
+    stored = pairs
+    for key in tables.PAIR_KEYS:
+        stored = stored.join(known.select(F.col("doc_id").alias(key)), key, "left_semi")
+    old_pairs = store.write("similarities", stored, 1)
+    old_stats = store.write("user_stats", tables.user_stats(known, tables.author_pair_counts(old_pairs, known)), 1)
+    doc_users = store.write("doc_users", tables.first_writer_wins(known, _doc_users(spark, sf_dir).withColumn("seq", F.lit(1))), 2)
+    new_pairs = store.write("similarities", tables.insert_new_pairs(old_pairs, pairs.withColumn("seq", F.lit(1))), 2).join(
+        old_pairs.select(*tables.PAIR_KEYS), tables.PAIR_KEYS, "left_anti"
+    )
+    counted = tables.add_comment_counts(old_stats, doc_users.join(known.select("doc_id"), "doc_id", "left_anti"))
+    added = tables.add_pair_counts(counted, tables.author_pair_counts(new_pairs, doc_users))
+    return store.write("user_stats", tables.refresh_rates(added), 2)
 
 
 # --- workers and latency --------------------------------------------------------------
@@ -570,17 +601,26 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.pairs()
 
 
+def _appended(frame: DataFrame, out: str, checkpoint: str) -> None:
+    written = frame.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    written.trigger(availableNow=True).start().awaitTermination()
+
+
 @registered
 def stream_joined_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2, ST5: pairs from one stateful self-join with retention."""
+    """ST2, ST3, ST5: pairs from one stateful self-join with retention, over a stored stream of shingles; labelled documents come twice."""
     workspace = Workspace.of(spark, "stream")
-    timed = messages.with_event_time(_topic(spark, sf_dir, workspace))
-    found = pair_events(timed, PARAMS, retention="3650 days", lateness="3650 days")
-    out = workspace.path("pairs")
-    found.writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", workspace.path("checkpoint")
-    ).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(found.schema).parquet(out)
+    sent = _messages(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"))
+    again = sent.join(labels, "id", "left_semi").withColumn("produced_at", F.col("produced_at") + 0.5)
+    messages.write_topic_files(sent.unionByName(again), workspace.path("topic"), STREAM_FILES)
+    timed = messages.with_event_time(messages.read_topic_files(spark, workspace.path("topic")))
+    events = shingle_events(timed, PARAMS, lateness="3650 days")
+    _appended(events, workspace.path("events"), workspace.path("events-checkpoint"))
+    stored = spark.readStream.schema(events.schema).parquet(workspace.path("events"))
+    found = pair_events(stored, PARAMS, retention="3650 days", lateness="3650 days")
+    _appended(found, workspace.path("pairs"), workspace.path("checkpoint"))
+    return spark.read.schema(found.schema).parquet(workspace.path("pairs"))
 
 
 @registered
@@ -601,9 +641,7 @@ def stream_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set(name, value)
     try:
         found = newest_pairs(timed, PARAMS, STATE_NEWEST, STATE_SHARDS, retention=1e9)
-        found.writeStream.format("parquet").option("path", out).option(
-            "checkpointLocation", workspace.path("checkpoint")
-        ).trigger(availableNow=True).start().awaitTermination()
+        _appended(found, out, workspace.path("checkpoint"))
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -202,10 +202,10 @@ ORACLES = {
                             LEFT JOIN documents ON event_id = doc_id""",
     "doc_users_first_wins": """SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN source ELSE lang END AS user_id
                                FROM documents d LEFT JOIN labels l USING (doc_id)""",
-    "similarities_insert_ignore": query(
-        docs("lang"), lsh_pairs(),
-        select="""SELECT doc_id_1, doc_id_2, similarity FROM pairs""",
-    ),
+    "similarities_insert_ignore": f"""WITH
+        stored AS ({query(docs(), lsh_pairs(), select="SELECT doc_id_1, doc_id_2, similarity FROM pairs")}),
+        wider AS ({query(docs("lang"), lsh_pairs(), select="SELECT doc_id_1, doc_id_2, similarity FROM pairs")})
+        SELECT * FROM stored UNION ALL SELECT * FROM wider ANTI JOIN stored USING (doc_id_1, doc_id_2)""",
     "counter_upsert": query(
         docs(), lsh_pairs(), BY_SOURCE, LABELLED,
         f"""totals AS (SELECT user_id, count(*) AS total_comments
@@ -225,16 +225,24 @@ ORACLES = {
                    LEFT JOIN (SELECT user_id, count(*) AS n FROM pairs GROUP BY ALL) USING (user_id)""",
     ),
     "integrity": query(
-        docs("lang"), lsh_pairs(),
-        "mirrored AS (SELECT doc_id_1, doc_id_2, similarity FROM pairs UNION ALL SELECT doc_id_2, doc_id_1, similarity FROM pairs)",
-        select="""SELECT 'doc_users_duplicate_key' AS rule, count(*) AS violations FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)
-                  UNION ALL SELECT 'doc_users_null', 0
-                  UNION ALL SELECT 'similarities_duplicate_key', 0
-                  UNION ALL SELECT 'similarities_null', 0
-                  UNION ALL SELECT 'similarities_order', count(*) FROM mirrored WHERE doc_id_1 >= doc_id_2
-                  UNION ALL SELECT 'similarities_range', count(*) FROM mirrored WHERE NOT similarity BETWEEN 0.5 AND 1
-                  UNION ALL SELECT 'user_stats_duplicate_key', 0
-                  UNION ALL SELECT 'user_stats_null', 0""",
+        docs("lang"), lsh_pairs(), BY_SOURCE, LABELLED,
+        "users AS (SELECT * FROM du UNION ALL SELECT * FROM lab UNION ALL SELECT doc_id, NULL FROM lab WHERE doc_id % 5 = 0)",
+        """sims AS (SELECT doc_id_1, doc_id_2, similarity FROM pairs UNION ALL SELECT doc_id_2, doc_id_1, similarity FROM pairs
+             UNION ALL SELECT doc_id_1, doc_id_2, similarity FROM pairs WHERE doc_id_1 % 3 = 0
+             UNION ALL SELECT doc_id_1, doc_id_2, NULL FROM pairs WHERE doc_id_1 % 4 = 0)""",
+        "totals AS (SELECT user_id FROM users GROUP BY user_id)",
+        "st AS (SELECT user_id FROM totals UNION ALL SELECT user_id FROM totals WHERE user_id < 'src2')",
+        select="""SELECT 'doc_users_duplicate_key' AS rule, (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM users GROUP BY doc_id)) AS violations
+                  UNION ALL SELECT 'doc_users_null', (SELECT count(*) FROM users WHERE doc_id IS NULL OR user_id IS NULL)
+                  UNION ALL SELECT 'similarities_duplicate_key', (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM sims GROUP BY doc_id_1, doc_id_2))
+                  UNION ALL SELECT 'similarities_null', (SELECT count(*) FROM sims WHERE similarity IS NULL)
+                  UNION ALL SELECT 'similarities_order', (SELECT count(*) FROM sims WHERE doc_id_1 >= doc_id_2)
+                  UNION ALL SELECT 'similarities_range', (SELECT count(*) FROM sims WHERE NOT similarity BETWEEN 0.5 AND 1)
+                  UNION ALL SELECT 'user_stats_duplicate_key', (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM st GROUP BY user_id))
+                  UNION ALL SELECT 'user_stats_null', (SELECT count(*) FROM st WHERE user_id IS NULL)""",
+    ),
+    "table_cycle": query(
+        docs(), lsh_pairs(), STATS, select="SELECT user_id, total_comments, similar_pairs, similarity_rate FROM stats"
     ),
     "worker_window_stats": query(
         SEEN, intervals("fine", 10),

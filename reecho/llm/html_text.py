@@ -25,12 +25,18 @@ from pyspark.sql import functions as F
 from reecho.llm import boosting
 from reecho.llm.common import ship
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)", re.S)
+# Attributes as HTML reads them: a quote opens a value only where a value begins.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[\s/]+|=|[^\s=>/]+(?:\s*=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+)?)?)*+)(?:>|\Z)",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"(class|id|role|aria-label|aria-hidden|hidden|style|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 WORD = re.compile(r"[a-z]+")
 
 # HTML's element groups.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "button", "object", "noframes")
+RAW = ("script", "style", "textarea", "title")
+UNSEEN = ("noscript", "template", "iframe", "svg", "select", "button", "object", "noframes")
 VOID = ("br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr")
 INLINE = (
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
@@ -145,7 +151,14 @@ def parse(source: str) -> Node:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(source, position)
                 position = end.end() if end else len(source)
             pieces.append(" ")
-            at.controls += tag in ("textarea", "select", "button")
+            at.controls += tag == "textarea"
+        elif tag in UNSEEN and not closing:
+            # left out up to its end; one that no end follows before another of its kind, or at all, is taken as never opened
+            end = re.compile(rf"<(/?){tag}(?![A-Za-z0-9:-])[^>]*>", re.I).search(source, position)
+            if end and end[1] and not (m[3] or "").endswith("/"):
+                position = end.end()
+            pieces.append(" ")
+            at.controls += tag in ("select", "button")
         elif tag == "a":
             in_link = not closing
         elif tag in VOID:
@@ -153,7 +166,7 @@ def parse(source: str) -> Node:
             at.controls += tag == "input"
             if tag == "hr":
                 flush()
-        elif tag in INLINE or tag in ("html", "head", "body", *RAW):
+        elif tag in INLINE or tag in ("html", "head", "body", *RAW, *UNSEEN):
             if tag in ("body", "head"):
                 flush()
         elif closing:

@@ -93,8 +93,21 @@ def _plausible(kind: str, value: Column) -> Column:
     return {"ip": address, "card": count.between(13, 19), "phone": count.between(7, 15)}.get(kind, F.lit(True))
 
 
-def located(text: Column, pattern: str, keep, describe) -> Column:
-    """Array of described matches with code-point offsets, for matches that ``keep`` holds for."""
+def _may_hold(kind: str, loose: int, text: Column) -> Column:
+    """A cheap test that every text with a match of the pattern passes."""
+    digit = text.rlike("[0-9]")
+    guards = {
+        ("email", 0): text.contains("@"),
+        ("email", 1): text.rlike(r"(?i)\(at\)|\[at\]|\{at\}|\x20at\x20") & text.rlike(r"(?i)\(dot\)|\[dot\]|\{dot\}|\x20dot\x20"),
+        ("ip", 0): text.rlike(r"[0-9]\.[0-9]"),
+        ("ip", 1): text.contains("[.]") | text.contains("::") | text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
+        ("phone", 0): text.rlike(r"\+[0-9]"),
+    }
+    return guards.get((kind, loose), digit)
+
+
+def located(text: Column, pattern: str, keep, describe, guard: Column) -> Column:
+    """Array of described matches with code-point offsets, for matches that ``keep`` holds for. Texts without the ``guard`` have none."""
     matches, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.zip_with(pieces, matches, lambda piece, match: F.struct(F.length(piece).alias("skip"), match.alias("value")))
     element = describe(F.lit(0), F.lit(0), F.lit(""))
@@ -108,12 +121,13 @@ def located(text: Column, pattern: str, keep, describe) -> Column:
 
     # the last piece follows the last match, so it has none
     found = F.aggregate(F.filter(pairs, lambda p: p["value"].isNotNull()), state, step, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.slice(F.array(element), 1, 0))
+    return F.when(guard & text.rlike(pattern), found).otherwise(F.slice(F.array(element), 1, 0))
 
 
 def card_parts(text: Column, describe) -> Column:
     """Runs of 13 to 19 digits that pass Luhn, from any group's start to any group's end of longer runs; they overlap."""
-    runs = located(text, CARD_RUN, lambda value: F.lit(True), lambda start, end, value: F.struct(start.alias("start"), value.alias("value")))
+    described = lambda start, end, value: F.struct(start.alias("start"), value.alias("value"))
+    runs = located(text, CARD_RUN, lambda value: F.lit(True), described, _may_hold("card", 1, text))
 
     def parts(run: Column) -> Column:
         value = run["value"]
@@ -133,11 +147,11 @@ def card_parts(text: Column, describe) -> Column:
     return F.flatten(F.transform(runs, parts))
 
 
-def candidates(text: Column) -> Column:
-    """All spans that a generator proposes: ``(kind, loose, start, end, value, checked)``; kind by its place in ``KINDS``."""
+def candidates(text: Column, generators: tuple[int, ...] = (0, 1)) -> Column:
+    """All spans that strict (0) and loose (1) generators propose: ``(kind, loose, start, end, value, checked)``; kind by its place in ``KINDS``."""
     proposed = []
     for number, kind in enumerate(KINDS):
-        for loose, pattern in enumerate((STRICT[kind], LOOSE[kind])):
+        for loose in generators:
             def describe(start: Column, end: Column, value: Column, number=number, loose=loose, kind=kind) -> Column:
                 if loose:
                     checked = F.call_function("luhn_check", _digits(value)) if kind == "card" else F.lit(False)
@@ -148,7 +162,8 @@ def candidates(text: Column) -> Column:
                     value.alias("value"), F.coalesce(checked, F.lit(False)).alias("checked"),
                 )
 
-            found = located(text, pattern, lambda value, kind=kind: _plausible(kind, value), describe)
+            pattern = (STRICT, LOOSE)[loose][kind]
+            found = located(text, pattern, lambda value, kind=kind: _plausible(kind, value), describe, _may_hold(kind, loose, text))
             if loose and kind == "card":
                 found = F.array_distinct(F.concat(found, card_parts(text, describe)))
             proposed.append(found)
@@ -187,9 +202,9 @@ def described(text: Column, span: Column, params: PiiParams) -> Column:
     )
 
 
-def with_candidates(docs: DataFrame, params: PiiParams) -> DataFrame:
+def with_candidates(docs: DataFrame, params: PiiParams, generators: tuple[int, ...] = (0, 1)) -> DataFrame:
     """Adds ``spans``, the described candidates; keeps the other columns."""
-    proposed = computed_once(docs, "proposed", candidates(F.col("text")))
+    proposed = computed_once(docs, "proposed", candidates(F.col("text"), generators))
     spans = F.transform("proposed", lambda span: described(F.col("text"), span, params))
     return computed_once(proposed, "spans", spans).drop("proposed")
 
@@ -222,7 +237,7 @@ def fit_judge(docs: DataFrame, params: PiiParams) -> tuple[boosting.Boosted, dic
     """
     names = [f"span.f_{n}" for n in FEATURES]
     spark = docs.sparkSession
-    seen = with_candidates(docs.select("text"), params).select(F.explode("spans").alias("span")).where("span.f_loose = 0")
+    seen = with_candidates(docs.select("text"), params, (0,)).select(F.explode("spans").alias("span"))
     counted = seen.groupBy(*[F.col(n) for n in names]).agg(F.count(F.lit(1)).alias("times"))
     ranked = counted.orderBy(F.desc("times"), *[F.col(n.replace("span.", "")) for n in names]).limit(params.patterns)
     # stored first: collecting a sorted limit would send every partition's candidates to the driver

@@ -8,6 +8,7 @@ bucket, ready for batches of equal shape.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,12 +19,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reecho.llm.common import ship
+from reecho.operators.runs import running_total
 from reecho.workspace import Workspace
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, bucket int, row_part bigint, ids binary"
 )
-CACHED_WORDS = 1_000_000
+CACHED_BYTES = 128 << 20
 TEXTS_AT_ONCE = 256
 CHUNK_ROWS = 4096
 
@@ -34,6 +36,12 @@ def piece_lengths(n: int, max_tokens: int) -> list[int]:
     return [max_tokens] * (n // max_tokens) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+def _ends_in_a_letter(word: bytes) -> bool:
+    """Whether the last letter stays a letter in lower case. One that gains a mark there, as a capital I with a dot, joins the stop after it."""
+    low = word.decode("utf-8", "replace")[-1:].lower()
+    return len(low) == 1 and low.isalpha()
+
+
 class WordEncoder:
     """Token ids of a text, word by word, with a bounded memory of words already seen.
 
@@ -41,11 +49,11 @@ class WordEncoder:
     full, further words are coded anew each time; results do not change.
     """
 
-    def __init__(self, path: str, remembered: int = CACHED_WORDS):
+    def __init__(self, model: bytes, remembered: int = CACHED_BYTES):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
+        self.tokenizer = Tokenizer.from_buffer(model)
+        self.remembered, self.held = remembered, 0
         self.known: dict[bytes, bytes] = {}
 
     def _code(self, words: list[bytes]) -> None:
@@ -74,7 +82,7 @@ class WordEncoder:
         cut = []
         for word in words:
             stem = word.rstrip(b".,")
-            if len(stem) < len(word) and stem.decode("utf-8", "replace")[-1:].isalpha():
+            if len(stem) < len(word) and _ends_in_a_letter(stem):
                 cut.append((word, stem, word[len(stem) :]))
                 stems[stem] = stems[word[len(stem) :]] = None
             else:
@@ -83,34 +91,43 @@ class WordEncoder:
         self._code(new)
         for word, stem, stops in cut:
             self.known[word] = self.known[stem] + self.known[stops]
-        return [*new, *words]
+        return list({*new, *words})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
-        known, full = self.known, len(self.known) >= self.remembered
+        known, full = self.known, self.held >= self.remembered
         new = self._learn([word for word in set().union(*split) if word not in known])
         look = known.__getitem__
         coded = [b"".join(map(look, words)) for words in split]
         if full:
             for word in new:
                 known.pop(word, None)
+        else:
+            self.held += sum(200 + len(word) + len(known[word]) for word in new)
         return coded
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
-    return _encoders.setdefault(path, WordEncoder(path)) if path not in _encoders else _encoders[path]
+def _encoder(key: str, model: bytes) -> WordEncoder:
+    """The worker's encoder, kept for its later tasks."""
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = WordEncoder(model)
+    return _encoders[key]
 
 
 def document_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_tokens: int, with_ids: bool) -> DataFrame:
-    """One row per piece; ``ids`` holds its tokens if asked for."""
+    """One row per piece; ``ids`` holds its tokens if asked for. The driver reads the tokenizer's file and sends it to the workers."""
+    with open(tokenizer_path, "rb") as file:
+        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    model_key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = np.array([end_id], "<u4").tobytes()
-        encoder = _encoder(tokenizer_path)
+        encoder = _encoder(model_key, shared.value)
         for batch in batches:
             for at in range(0, len(batch), TEXTS_AT_ONCE):
                 part = batch.iloc[at : at + TEXTS_AT_ONCE]
@@ -155,10 +172,12 @@ def pack(
     pieces = space.save(document_pieces(docs, tokenizer_path, end_id, max_tokens, with_ids), "pieces")
     chunks = max(1, -(-pieces.count() // CHUNK_ROWS))
     placed = pieces.withColumn("chunk", F.pmod(F.col("row_part"), F.lit(chunks)))
-    # bucket by bucket, chunk by chunk: one row each, a few thousandths of the pieces
+    # bucket by bucket, chunk by chunk: one row each, a few thousandths of the pieces, and no task meets them all
     counted = placed.groupBy("bucket", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    before = W.orderBy("bucket", "chunk").rowsBetween(W.unboundedPreceding, -1)
-    bases = counted.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    in_order = F.col("bucket").cast("bigint") * chunks + F.col("chunk")
+    ordered = counted.select(F.lit(0).alias("part"), in_order.alias("at"), "bucket", F.col("chunk").alias("own"), "n")
+    upto = running_total(ordered, "part", "at", "n", "upto")
+    bases = upto.select("bucket", F.col("own").alias("chunk"), (F.col("upto") - F.col("n")).alias("base"))
     inside = W.partitionBy("bucket", "chunk").orderBy("doc_id", "row_part", "start", "ids_crc32")
     numbered = placed.withColumn("place", F.row_number().over(inside) - 1).join(bases, ["bucket", "chunk"])
     return numbered.select(

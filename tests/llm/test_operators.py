@@ -66,6 +66,28 @@ def test_packing_gives_each_token_once(docs, rows, empty, spark):
     assert packing.pack(empty, tokenizer_path(), END_ID).count() == 0
 
 
+def test_word_codes_are_the_tokenizers():
+    """Random texts: capitals that gain a mark in lower case before stops, marks, odd spaces, stops alone, all planes of Unicode."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    parts = ["İ", "BELEDİYESİ", "İstanbul", ".", ",", "..", " ", "  ", "\n", "\t", "a", "word", "Straße", "e\u0301", "\u0307", "ǅ", "ﬁ", "中文", "😀", "9", "<|endoftext|>", "-", "'s", "\xa0", "\x00"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(15_000)]
+    ranges = [(1, 128), (128, 0x800), (0x800, 0xD800), (0xE000, 0x110000)]
+    texts += ["".join(chr(rng.randrange(*rng.choice(ranges))) if rng.random() < 0.7 else rng.choice(" .,İa") for _ in range(rng.randint(1, 10))) for _ in range(6_000)]
+    texts += ["BELEDİYESİ. Yeni", "İ.", "İ,, İ ."]
+    with open(tokenizer_path(), "rb") as file:
+        model = file.read()
+    encoder, tokenizer = packing.WordEncoder(model, remembered=300_000), Tokenizer.from_buffer(model)
+    for at in range(0, len(texts), 256):
+        part = texts[at : at + 256]
+        want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(part, add_special_tokens=False)]
+        got = encoder.encode(part)
+        assert got == want, [t for t, g, w in zip(part, got, want, strict=True) if g != w][:3]
+    assert encoder.held < 2_000_000
+
+
 def test_piece_lengths_are_binary():
     assert packing.piece_lengths(13, 4096) == [8, 4, 1]
     assert packing.piece_lengths(8193, 4096) == [4096, 4096, 1]
@@ -340,6 +362,18 @@ def test_main_text(spark):
     assert html_text.extract(frame.limit(0)).count() == 0
 
 
+def test_tags_are_read_as_html_reads_them():
+    """An apostrophe inside a value without quotes opens nothing; what is never closed hides nothing."""
+    texts = lambda source: [n.text for n in html_text.in_order(html_text.parse(source)) if n.tag == "#text"]
+    assert texts("<article><p data-n=it's>First part.</p><p>It doesn't end.</p></article>") == ["First part.", "It doesn't end."]
+    assert texts("<p>One <button>two</p><p>three</p>") == ["One two", "three"]
+    assert texts("<p>One <button>two</button> three</p><button>x<p>four</p><button>y</button>") == ["One three", "x", "four"]
+    assert texts("<p title='a > b' alt=\"c's\">in</p><svg><text>no</text></svg><select/>out") == ["in", "out"]
+    assert texts("<p a='never closed>lost") == [] and texts("x <p") == ["x"] and texts("a < b <3 c") == ["a < b <3 c"]
+    long = "<p " + "a='" * 20_000
+    assert texts(long) == []
+
+
 def test_layouts_are_learned():
     """Held-out pages of the grammar: nearly all characters right."""
     import numpy as np

@@ -48,7 +48,7 @@ def expand_pairs(set_pairs: DataFrame, members: DataFrame, block_rows: int = BLO
     return across.unionByName(inside)
 
 
-def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame:
+def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int, largest: int | None = None) -> DataFrame:
     """The first ``limit`` rows of ``expand_pairs`` by similarity, then doc ids.
 
     ``rep_id`` must be the least document of its set. What cannot occur in the answer is
@@ -58,6 +58,8 @@ def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame
       those sorts before all of its own. Copied sets are ranked by themselves likewise;
     - a document with more than ``limit`` lesser ones in its set: replacing it by one of
       those gives ``limit`` pairs of the same similarity that sort first.
+
+    ``largest`` is the number of documents of the largest set, if it is known; it is looked up otherwise.
     """
     copied = members.where(F.col("copies") > 1)
     first_pairs = set_pairs.orderBy(F.desc("similarity"), "rep_id_1", "rep_id_2").limit(limit)
@@ -65,12 +67,9 @@ def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame
     named = first_pairs.select(F.explode(F.array("rep_id_1", "rep_id_2")).alias("rep_id"))
     needed = first_copied.unionByName(named).distinct()
     wanted = copied.join(broadcast_if_bounded(needed, 3 * limit), "rep_id", "left_semi")
-    # first within a block of the set's documents, then within the set: no task meets a whole hot set
-    for keys in (("rep_id", "block"), ("rep_id",)):
-        in_part = W.partitionBy(*keys).orderBy("doc_id")
-        blocked = wanted.withColumn("block", block_of(F.col("doc_id"), F.col("copies"), max(BLOCK_ROWS, 4 * limit)))
-        wanted = blocked.withColumn("place", F.row_number().over(in_part)).where(F.col("place") <= limit + 1).drop("block")
-    least = wanted
+    if largest is None:
+        largest = members.agg(F.max("copies").alias("n")).first().n or 0
+    least = _least_documents(wanted, limit + 1, largest)
 
     def cut(copies: str) -> Column:
         return F.least(F.col(copies), F.lit(limit + 1).cast("bigint"))
@@ -80,6 +79,24 @@ def top_pairs(set_pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame
     return pairs.orderBy(F.desc("similarity"), "doc_id_1", "doc_id_2").limit(limit)
 
 
+def _least_documents(copied: DataFrame, most: int, largest: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The ``most`` least documents of each set, and their ``place``. No set has more than ``largest``.
+
+    A set's documents are cut to the least ones of each block, level by level, until what can be left of the largest set is
+    one block: no task meets a hot set. A level leaves at most a quarter.
+    """
+    block_rows = max(block_rows, 4 * most)
+    rows, size = copied, largest
+    while size > block_rows:
+        blocks = -(-size // block_rows)
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(blocks), "doc_id"), F.least(F.lit(blocks), F.ceil(F.col("copies") / block_rows))))
+        in_block = W.partitionBy("rep_id", "block").orderBy("doc_id")
+        rows = dealt.withColumn("place", F.row_number().over(in_block)).where(F.col("place") <= most).drop("block", "place")
+        size = blocks * most
+    in_set = W.partitionBy("rep_id").orderBy("doc_id")
+    return rows.withColumn("place", F.row_number().over(in_set)).where(F.col("place") <= most)
+
+
 def author_pair_counts(set_pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``(user_id, similar_pairs)`` without building the pairs: copies are multiplied out.
 

@@ -42,7 +42,8 @@ class Matching:
 
     def top(self, limit: int) -> DataFrame:
         """The most similar pairs, ties by doc ids."""
-        return expand.top_pairs(self.set_pairs, self._copied(), limit)
+        largest = self.sets.agg(F.max("copies").alias("n")).first().n or 0
+        return expand.top_pairs(self.set_pairs, self._copied(), limit, largest)
 
     def author_pair_counts(self) -> DataFrame:
         return expand.author_pair_counts(self.set_pairs, self.sets)

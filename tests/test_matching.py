@@ -52,6 +52,17 @@ def test_both_ways_of_the_exact_join_hold_every_pair(spark, docs, rows):
         assert {(r.rep_id_1, r.rep_id_2) for r in verify.verify_pairs(cells, sets, threshold).collect()} == wanted
 
 
+def test_least_documents_are_found_in_levels(spark):
+    sizes = {1: 1000, 2: 37, 3: 1}
+    rows = [(rep, rep * 10_000 + i, n) for rep, n in sizes.items() for i in range(n)]
+    frame = spark.createDataFrame(rows, "rep_id bigint, doc_id bigint, copies bigint").repartition(5)
+    for most in (1, 3, 40):
+        found = expand._least_documents(frame, most, 1000, block_rows=8).collect()
+        assert {(r.rep_id, r.doc_id, r.place) for r in found} == {
+            (rep, rep * 10_000 + i, i + 1) for rep, n in sizes.items() for i in range(min(n, most))
+        }
+
+
 def test_pairs_of_authors_are_counted_without_them(spark):
     """A hundred thousand copies of one text, five billion pairs, by two authors, and a near copy."""
     copies = spark.range(100_000).select(

@@ -131,21 +131,16 @@ def components(space: Workspace, edges: DataFrame, name: str) -> DataFrame:
     rest goes on. The number of links falls by a constant factor each round. A node with
     many links costs one row per link; rows are pre-aggregated and joins can be split.
     """
-    links = space.save(
-        edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-        f"{name}-links-0",
-    )
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    links = space.save(edges.where("a <> b").select(*pair, F.lit(0).alias("turn")).distinct(), f"{name}-links-0")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     roots, step = nodes.select("node", F.col("node").alias("root")), 0
     while not links.isEmpty():
-        def rank(node: Column, step: int = step) -> Column:
-            return F.struct(F.xxhash64(F.lit(step), node).alias("order"), node.alias("id"))
-
-        both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = both.groupBy("a").agg(F.min(rank(F.col("b"))).alias("first"))
-        parent = space.save(
-            first.select("a", F.least(F.col("first"), rank(F.col("a")))["id"].alias("parent")), f"{name}-parent-{step}"
-        )
+        # the number of the round is a column: the code that Spark generates is then the same in all rounds, and is compiled once
+        rank = lambda node: F.struct(F.xxhash64("turn", node).alias("order"), F.col(node).alias("id"))
+        both = links.select("a", "b", "turn").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "turn"))
+        first = both.groupBy("a", "turn").agg(F.min(rank("b")).alias("first"))
+        parent = space.save(first.select("a", F.least("first", rank("a"))["id"].alias("parent")), f"{name}-parent-{step}")
         as_root = parent.select(F.col("a").alias("root"), "parent")
         roots = roots.join(as_root, "root", "left").select("node", F.coalesce("parent", "root").alias("root"))
         if step % 4 == 3:
@@ -154,10 +149,8 @@ def components(space: Workspace, edges: DataFrame, name: str) -> DataFrame:
             parent.select(F.col("a").alias("b"), F.col("parent").alias("pb")), "b"
         )
         step += 1
-        links = space.save(
-            moved.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(),
-            f"{name}-links-{step}",
-        )
+        merged = moved.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"), (F.col("turn") + 1).alias("turn"))
+        links = space.save(merged.distinct(), f"{name}-links-{step}")
     names = roots.groupBy("root").agg(F.min("node").alias("component"))
     return roots.join(names, "root").select("node", "component")
 

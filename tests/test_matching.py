@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from brute import as_dict, similar_pairs
 from reecho import MatchParams, find_pairs
-from reecho.operators import documents, exact, expand, skew, verify
+from reecho.functions import minhash as mh
+from reecho.operators import cells, documents, exact, expand, lsh, skew, verify
 from reecho.plans import reports
 from reecho.plans.matching import prepare
 
@@ -171,3 +172,32 @@ def test_plans_stay_in_the_jvm_and_join_on_keys(docs):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         for bad in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"):
             assert bad not in plan
+
+
+def test_cells_give_the_verified_candidates_whatever_their_size(spark, docs):
+    params = MatchParams(threshold=0.2)
+    _, sets = prepare(docs, params)
+    signed = lsh.signatures(sets, params)
+    old = {"lsh": lsh.candidate_pairs(lsh.band_rows(signed, params), params.threshold), "exact": exact.exact_candidates(sets, params.threshold)}
+    buckets = {"lsh": signed.select("rep_id", mh.band_buckets("sig", "user_id", params).alias("buckets")), "exact": None}
+    for method, candidates in old.items():
+        wanted = {tuple(r) for r in verify.verify_pairs(candidates, sets, params.threshold).collect()}
+        for elements in (100, cells.ELEMENTS):
+            found = cells.similar_pairs(sets, params.threshold, buckets[method], elements=elements).collect()
+            assert wanted and len(found) == len(wanted) and {tuple(r) for r in found} == wanted
+
+
+def test_matching_ships_no_pair_before_it_is_confirmed(spark):
+    """Texts of one author that share a tenth of their words: no pair is similar, and none leaves the comparing tasks."""
+    draw = random.Random(5)
+    common = [f"c{i}" for i in range(4)]
+    rows = [(i, "u", " ".join(common + [f"w{draw.randrange(4000)}" for _ in range(36)])) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, user_id string, text string")
+    shingled, sets = prepare(frame, MatchParams())
+    joined = cells.similar_pairs(sets, 0.15)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    top = plan[: plan.index("MapInArrow")]
+    assert joined.count() == len(similar_pairs(rows, 0.15)) and "Join" not in top
+    # a set is dealt to each of the author's blocks once
+    dealt = cells.dealt(sets, None)
+    assert dealt.count() == 300 and dealt.select("rep_id").distinct().count() == 300

@@ -201,3 +201,12 @@ def test_matching_ships_no_pair_before_it_is_confirmed(spark):
     # a set is dealt to each of the author's blocks once
     dealt = cells.dealt(sets, None)
     assert dealt.count() == 300 and dealt.select("rep_id").distinct().count() == 300
+
+
+def test_tasks_follow_what_is_dealt(spark, docs):
+    _, sets = prepare(docs, MatchParams())
+    shingles = {r.user_id: r.n for r in sets.groupBy("user_id").agg(F.sum("n_shingles").alias("n"), F.count("*").alias("m")).where("m > 1").collect()}
+    wanted = -(-sum(n * -(-n // 50) for n in shingles.values()) // 50)
+    assert cells.tasks_for(sets, elements=50) == wanted > 4
+    assert cells.similar_pairs(sets, 0.15, elements=50).rdd.getNumPartitions() == wanted
+    assert cells.tasks_for(sets) == 1

@@ -210,3 +210,61 @@ def test_tasks_follow_what_is_dealt(spark, docs):
     assert cells.tasks_for(sets, elements=50) == wanted > 4
     assert cells.similar_pairs(sets, 0.15, elements=50).rdd.getNumPartitions() == wanted
     assert cells.tasks_for(sets) == 1
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+@pytest.mark.parametrize("method", ["lsh", "exact"])
+def test_shingles_move_to_the_cells_only(spark, docs, rows, method, few, monkeypatch):
+    """With few copied sets the documents' table is dealt as it lies; with many they are looked up. Both give the pairs of sets that hold their shingles."""
+    monkeypatch.setattr(skew, "FEW_ROWS", few)
+    params = MatchParams(threshold=0.2)
+    _, sets = prepare(docs, params)
+    signed = lsh.signatures(sets, params)
+    buckets = signed.select("rep_id", mh.band_buckets("sig", "user_id", params).alias("buckets")) if method == "lsh" else None
+    wanted = {tuple(r) for r in cells.similar_pairs(sets, params.threshold, buckets).collect()}
+    matching = find_pairs(docs, params, method)
+    assert wanted and {tuple(r) for r in matching.set_pairs.collect()} == wanted
+    assert "shingles" not in matching.sets.columns
+    for elements in (100, cells.ELEMENTS):
+        banding = params if method == "lsh" else None
+        found = cells.similar_pairs(matching.sets, params.threshold, elements=elements, shingled=matching.shingled, banding=banding)
+        assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+    exchanges = cells.dealt(matching.sets, None, shingled=matching.shingled)._jdf.queryExecution().executedPlan().toString()
+    assert few == 0 or "SortMergeJoin" not in exchanges
+
+
+def test_bands_of_a_cell_are_those_of_the_signature(spark, docs):
+    """Also for a prime other than the Mersenne one: sets share a bucket exactly if they share a band."""
+    import numpy as np
+
+    for params in (MatchParams(), MatchParams(num_hashes=7, rows_per_band=2, prime=65537)):
+        _, sets = prepare(docs, params)
+        held = sorted(sets.collect(), key=lambda r: r.rep_id)
+        texts = {r.rep_id: r.bands for r in lsh.signatures(sets, params).select("rep_id", mh.band_texts("sig", params).alias("bands")).collect()}
+        words = np.concatenate([np.array(r.shingles) - (1 << 31) for r in held]).astype(np.int32)
+        start = np.append(0, np.cumsum([len(r.shingles) for r in held]))
+        found = cells._Banding.of(params).buckets(words, start, np.zeros(len(held), np.int64))
+        named = {(i, text) for r in held for i, text in enumerate(texts[r.rep_id])}
+        pairs = {(i, text, int(found[at, i])) for at, r in enumerate(held) for i, text in enumerate(texts[r.rep_id])}
+        assert len(pairs) == len(named) == len(np.unique(found))
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_deliveries_are_settled_without_texts(spark, few, monkeypatch):
+    monkeypatch.setattr(documents, "FEW_ROWS", few)
+    rows = [(1, "u", "late", 2), (1, "v", "early", 1), (2, "u", "b", 1), (2, "u", "a", 1), (2, "u", "0", 2), (3, "u", "x", 5), (4, "u", "null", None), (4, "u", "one", 1)]
+    nulls = [(None, "u", "n", 1), (None, "u", "n", 1)]
+    frame = spark.createDataFrame(rows + nulls, "doc_id bigint, user_id string, text string, seq int")
+    kept = [(r.doc_id, r.text) for r in documents.deliver_once(frame, "seq").collect()]
+    assert sorted(kept, key=str) == sorted([(1, "early"), (2, "a"), (3, "x"), (4, "null"), (None, "n"), (None, "n")], key=str)
+    kept = [(r.doc_id, r.text) for r in documents.deliver_once(frame).where("doc_id IS NOT NULL").collect()]
+    assert sorted(kept) == [(1, "late"), (2, "0"), (3, "x"), (4, "null")]
+    # without ties nothing but ids is grouped or shuffled
+    plan = documents.deliver_once(frame.where("doc_id <> 2"), "seq")._jdf.queryExecution().optimizedPlan().toString()
+    assert all("text" not in line for line in plan.splitlines() if "Aggregate" in line)
+
+
+def test_a_matching_is_matched_again_by_the_other_method(docs, rows):
+    matching = find_pairs(docs)
+    again = matching.matched(MatchParams(), "exact")
+    assert as_dict(again.pairs()) == similar_pairs(rows, 0.15) and again.shingled is matching.shingled

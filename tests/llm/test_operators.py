@@ -517,6 +517,35 @@ def test_groups_in_bands_over_several_rounds(spark):
         assert all(got.get(n, n) == root(n) for n in parent)
 
 
+def test_a_pair_of_lines_leaves_the_last_join_once(spark):
+    """However many bands two lines share, they come out in the first of them; components are those of all pairs."""
+    from reecho.llm.common import groups_in_bands
+    from reecho.llm.lines import LineParams, _first_common
+    from reecho.operators.skew import block_pairs, keep_shared
+    from reecho.workspace import Workspace
+
+    params = LineParams(bands=4)
+    table = spark.createDataFrame([(n, [n % 2, 10 + n % 3, 20 + n // 30, 30]) for n in range(60)], "node bigint, bands array<bigint>")
+    rows = table.withColumn("band", F.explode("bands"))
+    met = block_pairs(keep_shared(rows, ["band"], "node"), ("band",), "node", carry=("bands",), condition=_first_common(params), block_rows=16)
+    got = [(r.node_1, r.node_2) for r in met.collect()]
+    assert len(got) == len(set(got)) == 60 * 59 // 2
+    plain = rows.select("node", "band")
+    sketched = lambda kept: kept.join(table, "node")
+    for gap in (7, 29, 50):
+        seen = []
+
+        def confirm(pairs, name, gap=gap, seen=seen):
+            seen.append((name, pairs.count(), pairs.distinct().count()))
+            return pairs.where(F.abs(F.col("a") - F.col("b")) % gap == 0)
+
+        last = (sketched, ("bands",), _first_common(params))
+        space = Workspace.of(spark, "bands")
+        found = groups_in_bands(space, plain, lambda kept: kept, (), F.lit(True), lambda nodes, c=confirm: c, small=5, last=last)
+        assert {r.node: r.component for r in found.collect()} == {n: n % gap for n in range(60)}
+        assert any(name == "last" for name, _, _ in seen) or gap == 7
+
+
 def test_components_name_the_least_node(spark):
     from reecho.llm.common import components
     from reecho.workspace import Workspace

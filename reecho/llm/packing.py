@@ -8,12 +8,15 @@ bucket, ready for batches of equal shape.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,13 +68,13 @@ class WordEncoder:
         for at in range(0, len(plain), 256):
             part = plain[at : at + 256]
             coded = self.tokenizer.encode(" ".join(text for _, text in part), add_special_tokens=False)
-            ids, units = np.array(coded.ids, "<u4"), np.array([-1 if u is None else u for u in coded.word_ids])
-            starts = np.flatnonzero(np.diff(units, prepend=-1))
+            ids, units = np.array(coded.ids, "<u4").tobytes(), np.array([-1 if u is None else u for u in coded.word_ids])
+            starts = (4 * np.flatnonzero(np.diff(units, prepend=-1))).tolist()
             if len(starts) != len(part):
                 rest += part
                 continue
-            for (word, _), piece in zip(part, np.split(ids, starts[1:]), strict=True):
-                self.known[word] = piece.tobytes()
+            for (word, _), start, end in zip(part, starts, [*starts[1:], len(ids)], strict=True):
+                self.known[word] = ids[start:end]
         coded = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
         for (word, _), code in zip(rest, coded, strict=True):
             self.known[word] = np.array(code.ids, "<u4").tobytes()
@@ -95,11 +98,23 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
+        plain = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ") for t in texts]
+        split = pc.split_pattern(pa.array(plain, pa.large_binary()), b" ")
+        # a batch's words are looked up once each, and their ids are gathered by number
+        named = split.flatten().dictionary_encode()
+        words, which = named.dictionary.to_numpy(zero_copy_only=False).tolist(), named.indices.to_numpy()
         known, full = self.known, self.held >= self.remembered
-        new = self._learn([word for word in set().union(*split) if word not in known])
-        look = known.__getitem__
-        coded = [b"".join(map(look, words)) for words in split]
+        codes = list(map(known.get, words))
+        unknown = [i for i, code in enumerate(codes) if code is None]
+        new = self._learn([words[i] for i in unknown])
+        for i in unknown:
+            codes[i] = known[words[i]]
+        flat, sizes = np.frombuffer(b"".join(codes), "<u4"), np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        n, begin = sizes[which], (np.cumsum(sizes) - sizes)[which]
+        total = np.append(0, np.cumsum(n))
+        ids = flat[np.repeat(begin - total[:-1], n) + np.arange(total[-1])]
+        ends = total[split.offsets.to_numpy()].tolist()
+        coded = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
         if full:
             for word in new:
                 known.pop(word, None)
@@ -114,6 +129,8 @@ _encoders: dict[str, WordEncoder] = {}
 def _encoder(key: str, model: bytes) -> WordEncoder:
     """The worker's encoder, kept for its later tasks."""
     if key not in _encoders:
+        # a task has one core: threads of the tokenizer would only wait for it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _encoders.clear()
         _encoders[key] = WordEncoder(model)
     return _encoders[key]

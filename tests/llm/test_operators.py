@@ -88,6 +88,28 @@ def test_word_codes_are_the_tokenizers():
     assert encoder.held < 2_000_000
 
 
+def test_packing_looks_up_a_word_once_a_batch():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+    with open(tokenizer_path(), "rb") as file:
+        encoder = packing.WordEncoder(file.read())
+    encoder.known = Counted()
+    one, two = encoder.encode(["again and again", ""])
+    assert encoder.encode(["again and again"] * 50 + [""]) == [one] * 50 + [two] and one and not two
+    encoder.known.asked = 0
+    encoder.encode(["again and again"] * 50)
+    assert encoder.known.asked <= 4
+
+
 def test_piece_lengths_are_binary():
     assert packing.piece_lengths(13, 4096) == [8, 4, 1]
     assert packing.piece_lengths(8193, 4096) == [4096, 4096, 1]

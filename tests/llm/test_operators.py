@@ -340,6 +340,24 @@ def test_lm_is_normalised():
     assert abs(np.exp(scores - logs[3, 7]).sum() - 1) < 1e-4
 
 
+def test_language_model_looks_up_a_word_once_a_batch():
+    import numpy as np
+
+    params = lm.LmParams(words=2, classes=3, dims=4)
+    units = lm.Units(["again", "and"], params)
+    texts = [lm.split_words(t) for t in ("again and again", "", "and so seldom on", None)]
+    want = [units.of(words).tolist() for words in texts]
+    words, which = lm.numbered(texts)
+    assert sorted(words) == sorted({w for t in texts for w in t}) and [words[i] for i in which] == sum(texts, [])
+    assert [at.tolist() for at in units.of_texts(texts, words, which)] == want
+    none = lm.numbered([[], []])
+    assert [at.tolist() for at in units.of_texts([[], []], *none)] == [[units.end]] * 2
+    # sums of few rows at a time are the sums of all
+    rng = np.random.default_rng(1)
+    context, out, bias = rng.normal(size=(1100, 4)).astype("f4"), rng.normal(size=(9, 4)).astype("f4"), np.zeros(9, "f4")
+    assert np.allclose(lm.log_sums(context, out, bias), lm.log_sums(context, out, bias, rows=2000), atol=1e-5)
+
+
 def test_lm_vocabulary_follows_the_counts(spark, monkeypatch):
     """Every word that is frequent enough has its own vector, and the chain over groups and words sums to one."""
     import numpy as np

@@ -2,14 +2,15 @@
 
 Document frequencies come from all training documents. The weights are trained with
 follow-the-regularised-leader (McMahan et al. 2013) under an elastic-net penalty, on a bounded sample for
-each language, and probabilities are calibrated with a temperature fitted on held-out sample rows.
+each language, and probabilities are calibrated with a temperature fitted on held-out sample rows. The limits of what counts as
+in a learned language come from all held-out documents.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 from reecho.llm.common import mixed, ship
 
 UNKNOWN = "und"
+# A rank among held-out excerpts is exact to the reciprocal of this share.
+RANKS = 100_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -118,7 +121,7 @@ class LanguageModel:
         return self.judged(*found)[1] >= self.least_score and self.strangeness(*found) <= self.most_strange
 
     def calibrate(self, excerpts: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Sets the limits from held-out excerpts."""
+        """Sets the limits from the sample's excerpts; ``calibrated`` sets them from all held-out texts."""
         if excerpts:
             half = self.params.error / 2
             self.least_score = float(np.quantile([self.judged(*x)[1] for x in excerpts], half, method="lower"))
@@ -191,11 +194,38 @@ def train(training: DataFrame, params: LanguageParams = LanguageParams()) -> Lan
     logits = np.array([model.logits(*rows[i]) for i in held]).reshape(len(held), k)
     model.temperature = _temperature(logits, labels[held])
     model.weights = model.weights.astype(np.float32)
-    shorts = [(np.array(sample["short_at"][i], np.int64), np.array(sample["short_counts"][i], np.int64)) for i in held]
-    model.calibrate([x for x in shorts if len(x[0])])
+    shorts = [(np.array(sample["short_at"][i], np.int64), np.array(sample["short_counts"][i], np.int64)) for i in [*held, *used]]
+    # too few rows to hold any out: limits from those that the weights were fitted on, rather than none
+    model.calibrate([x for x in shorts[: len(held)] if len(x[0])] or [x for x in shorts if len(x[0])])
     return model
 
 
+def calibrated(model: LanguageModel, held: DataFrame) -> LanguageModel:
+    """The model with limits from the excerpts of all of ``held(text, lang)`` that are in a learned language.
+
+    Without such an excerpt the limits stay those of the sample. Ranks are exact to a hundred-thousandth of the rows.
+    """
+    if not model.languages:
+        return model
+    ship(held.sparkSession)
+    shared = held.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for batch in batches:
+            cut = [excerpt(text, own.params) for text in batch["text"]]
+            found = [grams(text, own.params) for text in cut if text]
+            yield pd.DataFrame({"score": [own.judged(*x)[1] for x in found], "strange": [own.strangeness(*x) for x in found]}, dtype=float)
+
+    usable = held.where(F.col("text").isNotNull() & F.col("lang").isin(model.languages)).select("text")
+    half = model.params.error / 2
+    limits = usable.mapInPandas(run, "score double, strange double").agg(
+        F.percentile_approx("score", half, RANKS).alias("least"), F.percentile_approx("strange", 1 - half, RANKS).alias("most")
+    ).first()
+    shared.destroy()
+    return model if limits.least is None else replace(model, least_score=limits.least, most_strange=limits.most)
+
+
 def _follow_leader(model: LanguageModel, rows: list, labels: np.ndarray, used: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray]:
     params, k = model.params, len(model.languages)
     # the last row is the bias

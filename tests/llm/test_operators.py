@@ -318,6 +318,31 @@ def test_the_language_stage_rejects_unlearned_languages(spark):
     assert len([i for i in kept if 1000 <= i < 2000]) >= 38 and len([i for i in kept if i < 1000]) >= 398
 
 
+def test_limits_come_from_all_held_out_documents(spark):
+    """Beyond the sample's few; and there are limits where training rows are too few to hold any out."""
+    import numpy as np
+
+    from reecho.llm import queries
+
+    rng = random.Random(8)
+    vocabularies = [["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(200)] for letters in ("abcdefgh", "nopqrstu")]
+    data = [(i, " ".join(rng.choice(vocabularies[i % 2]) for _ in range(20)), f"l{i % 2}") for i in range(4000)]
+    schema = "doc_id bigint, text string, lang string"
+    other = [(10_000, "qqq zzz yyy www " * 9, "unlearned"), (10_001, None, "l0"), (10_002, "123", "l1"), (None, "no language", None)]
+    held = spark.createDataFrame(data + other, schema)
+    model = language.train(held.where("doc_id < 100"))
+    got = language.calibrated(model, held.where("doc_id >= 100 OR doc_id IS NULL"))
+    found = [language.grams(language.excerpt(text, model.params), model.params) for i, text, _ in data if i >= 100]
+    scores, strange = [model.judged(*x)[1] for x in found], [model.strangeness(*x) for x in found]
+    assert np.mean(np.array(scores) < got.least_score) <= 0.005 and np.mean(np.array(scores) <= got.least_score) >= 0.005
+    assert abs(np.mean(np.array(strange) > got.most_strange) - 0.005) < 5e-4
+    assert (got.least_score, got.most_strange) != (model.least_score, model.most_strange)
+    few = spark.createDataFrame([(0, data[0][1], "l0"), (1, data[1][1], "l1"), (3, "Съешь же ещё этих мягких французских булок", None)], schema)
+    small = queries.judging_model(few)
+    assert small.least_score > 0 and small.most_strange < float("inf")
+    assert [r.doc_id for r in language.keep_accepted(few, small).orderBy("doc_id").collect()] == [0, 1]
+
+
 def test_lm_scores(docs, rows, empty):
     params = lm.LmParams(words=50, classes=4, listed=60, dims=4)
     got = lm.score_documents(docs.withColumn("rare", F.lit(1)), params).collect()

@@ -233,6 +233,29 @@ def test_shingles_move_to_the_cells_only(spark, docs, rows, method, few, monkeyp
     assert few == 0 or "SortMergeJoin" not in exchanges
 
 
+def test_a_cell_holds_one_block_and_meets_the_other_in_parts(spark, docs, rows, monkeypatch):
+    """Whatever the batches are cut into; and with bands a block may be four times as long, so that sets move less often."""
+    import numpy as np
+    import pyarrow as pa
+
+    params = MatchParams(threshold=0.2)
+    _, sets = prepare(docs, params)
+    known = sets.where("user_id IS NOT NULL")
+    dealt = cells.dealt(known, None, elements=100)
+    ordered = dealt.repartition(1).sortWithinPartitions("user_id", "low", "high", F.col("block") != F.col("low"), F.size("words"))
+    table = pa.Table.from_batches([ordered.toArrow().combine_chunks().to_batches()[0]])
+    wanted = sorted(tuple(r) for r in cells.similar_pairs(sets, params.threshold, elements=100).collect())
+    monkeypatch.setattr(cells, "PART", 64)
+    for n in (1, 7, 10_000):
+        found = cells._comparer(params.threshold, None)(iter(table.to_batches(n)))
+        assert sorted(tuple(r.values()) for batch in found for r in batch.to_pylist()) == wanted
+        seconds = [pieces for second, _, pieces in cells._portions(iter(table.to_batches(n))) if second]
+        assert all(len(pieces) == 1 or sum(piece.n[:-1].sum() for piece in pieces) < 64 + 60 * n for pieces in seconds)
+    wide = spark.createDataFrame([("u", i, 1, 1 << 20) for i in range(16 * 16)], "user_id string, rep_id bigint, copies bigint, n_shingles int")
+    assert cells.tasks_for(wide, elements=cells.BANDED_ELEMENTS) * 16 == cells.tasks_for(wide)
+    assert np.dtype(cells._Held.of([cells._Piece.of(table.append_column("group", pa.array([0] * len(table))))], 0, None).words.dtype).itemsize == 4
+
+
 def test_bands_of_a_cell_are_those_of_the_signature(spark, docs):
     """Also for a prime other than the Mersenne one: sets share a bucket exactly if they share a band."""
     import numpy as np
